@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,41 +11,37 @@ from ledgerline.functions import exprs
 from ledgerline.functions.schemas import CURRENT, KEYS, LANDING, MONEY, PAYLOADS, columns
 from ledgerline.sources.log import TOPIC_PREFIX
 
-# Numbers are read as text and cast afterwards, so one odd field does not void the record, and
-# a nested object asked for as text comes back verbatim.
-_ENVELOPE = "op string, ts_ms string, source struct<lsn:string>, before string, after string"
-
 
 def decode(log: DataFrame, topic_prefix: str = TOPIC_PREFIX) -> DataFrame:
     """Log records to change rows; delete tombstones (no value) are dropped.
 
-    The JSON is parsed once per record. ``symbol_id`` falls back to the before-image, so deletes
-    can be routed too.
+    ``json_tuple`` reads the record once and leaves the row images as the text they came in.
+    ``symbol_id`` falls back to the before-image, so deletes can be routed too.
     """
+    fields = ["op", "ts_ms", "source", "before", "after"]
     records = log.where(F.col("value").isNotNull()).select(
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("value").cast("string").alias("value"),
     )
-    e = F.col("envelope")
+    parsed = records.select("*", F.json_tuple("value", *fields).alias(*fields))
     symbol = F.coalesce(
-        F.get_json_object(e["after"], "$.symbol_id"), F.get_json_object(e["before"], "$.symbol_id")
+        F.get_json_object("after", "$.symbol_id"), F.get_json_object("before", "$.symbol_id")
     )
-    in_prefix = F.col("kafka_topic").startswith(topic_prefix)
-    return records.withColumn("envelope", F.from_json("value", _ENVELOPE)).select(
+    topic = F.col("kafka_topic")
+    stripped = F.substring(topic, len(topic_prefix) + 1, 1_000)
+    return parsed.select(
         "kafka_topic",
         "kafka_partition",
         "kafka_offset",
         "value",
-        F.when(in_prefix, F.substring("kafka_topic", len(topic_prefix) + 1, 1_000))
-        .otherwise(F.col("kafka_topic"))
-        .alias("src_table"),
-        e["op"].alias("op"),
-        e["ts_ms"].try_cast("bigint").alias("ts_ms"),
-        e["source"]["lsn"].try_cast("bigint").alias("source_lsn"),
-        e["after"].alias("after"),
-        e["before"].alias("before"),
+        F.when(topic.startswith(topic_prefix), stripped).otherwise(topic).alias("src_table"),
+        "op",
+        F.col("ts_ms").try_cast("bigint").alias("ts_ms"),
+        F.get_json_object("source", "$.lsn").try_cast("bigint").alias("source_lsn"),
+        "after",
+        "before",
         symbol.try_cast("bigint").alias("symbol_id"),
     )
 
@@ -57,13 +55,25 @@ def landing_rows(decoded: DataFrame) -> DataFrame:
     return decoded.withColumn("ingest_date", day).select("src_table", *columns(LANDING))
 
 
-def row_image(table: str) -> Column:
-    """The side of the envelope that describes the row, parsed: ``before`` for a delete only.
+def with_image(decoded: DataFrame, table: str, text: Column | None = None) -> DataFrame:
+    """Add ``image``, the parsed row the envelope is about: ``before`` for a delete only.
 
     Picking the whole image by ``op`` (not column by column) lets an update set a column to NULL.
+    The one-element explode keeps the parse in one place: filters on parsed fields would
+    otherwise be pushed below it and repeat the parse in every predicate.
     """
-    text = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
-    return F.from_json(text, PAYLOADS[table])
+    if text is None:
+        text = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    parsed = F.explode(F.array(F.from_json(text, PAYLOADS[table])))
+    return decoded.select("*", parsed.alias("image"))
+
+
+def _typed(table: str) -> list[Column]:
+    return exprs.conform(F.col("image"), PAYLOADS[table], CURRENT[table])
+
+
+def _key_missing(table: str, column=F.col) -> Column:
+    return reduce(lambda a, b: a | b, [column(k).isNull() for k in KEYS[table]])
 
 
 def book_changes(decoded: DataFrame) -> DataFrame:
@@ -73,64 +83,44 @@ def book_changes(decoded: DataFrame) -> DataFrame:
     neither can be told (no ``op``, or a quantity that is not a number); merges then update a
     level they know and ignore one they do not.
     """
-    image = F.col("image")
-    layout = CURRENT["orderbook_levels"]
-    typed = exprs.conform(image, PAYLOADS["orderbook_levels"], layout)
-    qty = F.coalesce(image["quantity"], F.lit("0")).try_cast(MONEY)
-    return (
-        decoded.withColumn("image", row_image("orderbook_levels"))
-        .select(
-            *typed,
-            ((F.col("op") == "d") | (qty == 0)).alias("deleted"),
-            "kafka_offset",
-        )
-        .where(F.col("symbol_id").isNotNull() & F.col("price_level").isNotNull())
+    qty = F.coalesce(F.col("image.quantity"), F.lit("0")).try_cast(MONEY)
+    rows = with_image(decoded, "orderbook_levels").select(
+        *_typed("orderbook_levels"),
+        ((F.col("op") == "d") | (qty == 0)).alias("deleted"),
+        "kafka_offset",
     )
+    return rows.where(F.col("symbol_id").isNotNull() & F.col("price_level").isNotNull())
 
 
 def trade_rows(decoded: DataFrame) -> DataFrame:
     """Typed trades from inserts and snapshot reads; trades are never updated."""
-    return (
-        decoded.where(F.col("op").isin("c", "r"))
-        .withColumn("image", F.from_json("after", PAYLOADS["trades"]))
-        .select(*exprs.conform(F.col("image"), PAYLOADS["trades"], CURRENT["trades"]), "kafka_offset")
-        .where(F.col("trade_id").isNotNull())
-    )
+    inserted = decoded.where(F.col("op").isin("c", "r"))
+    rows = with_image(inserted, "trades", F.col("after")).select(*_typed("trades"), "kafka_offset")
+    return rows.where(F.col("trade_id").isNotNull())
 
 
 def dimension_changes(decoded: DataFrame, table: str) -> DataFrame:
     """Typed changes of a small keyed table, with the columns that order them."""
-    key_present = F.lit(True)
-    for key in KEYS[table]:
-        key_present = key_present & F.col(key).isNotNull()
-    image = F.col("image")
-    return (
-        decoded.withColumn("image", row_image(table))
-        .select(
-            *exprs.conform(image, PAYLOADS[table], CURRENT[table]),
-            (F.col("op") == "d").alias("deleted"),
-            "ts_ms",
-            "source_lsn",
-            "kafka_offset",
-        )
-        .where(key_present)
+    rows = with_image(decoded, table).select(
+        *_typed(table),
+        (F.col("op") == "d").alias("deleted"),
+        "ts_ms",
+        "source_lsn",
+        "kafka_offset",
     )
+    return rows.where(~_key_missing(table))
 
 
 def rejects(decoded: DataFrame, table: str) -> DataFrame:
     """Records of a table that yield no row, with the reason; the typed readers skip them."""
-    image = row_image(table)
-    missing = F.lit(False)
-    for key in KEYS[table]:
-        missing = missing | image[key].isNull()
     known_ops = ["c", "r", "u", "d"]
     reason = (
         F.when(F.col("op").isNull(), "no operation")
         .when(~F.col("op").isin(known_ops), "unsupported operation")
-        .when(missing, "no key")
+        .when(_key_missing(table, lambda k: F.col(f"image.{k}")), "no key")
     )
     return (
-        decoded.where(F.col("src_table") == table)
+        with_image(decoded.where(F.col("src_table") == table), table)
         .withColumn("reason", reason)
         .where(F.col("reason").isNotNull())
         .select("src_table", "reason", "kafka_offset", "value")

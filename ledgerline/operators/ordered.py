@@ -10,7 +10,7 @@ already have.
 Rows and edges come out of one shuffle: both branches read the same columns of the same
 ``repartition``, so Spark computes the input once and reuses the exchange.
 
-Keys must not be NULL, and rows with a NULL order column are not supported.
+Rows without a key or an order value belong to no sequence and are left out.
 """
 
 from __future__ import annotations
@@ -24,7 +24,10 @@ _CHUNK = "__chunk"
 
 
 def _chunked(df: DataFrame, keys: list[str], order: str, width: int) -> DataFrame:
-    chunk = F.floor(F.col(order) / F.lit(width)).cast("bigint")
+    # First id of the chunk; stays in integers, so it is exact for any 64-bit id.
+    chunk = F.col(order) - F.pmod(F.col(order), F.lit(width))
+    for c in (*keys, order):
+        df = df.where(F.col(c).isNotNull())
     return df.withColumn(_CHUNK, chunk).repartition(*keys, _CHUNK)
 
 

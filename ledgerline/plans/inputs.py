@@ -27,8 +27,18 @@ def _symbol() -> Column:
     return (F.col("user_id") % 3 + 1).alias("symbol_id")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k")
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the number ``k`` taken out of their JSON properties, parsed once."""
+    return table(spark, sf_dir, "events").select("*", F.json_tuple("props", "k").alias("k")).drop("props")
+
+
+def _record(topic: str, offset: Column, value: Column, ts: str) -> list[Column]:
+    """A log record. The explode makes sure that its JSON is written once per record."""
+    once = F.explode(F.array(F.struct(offset.alias("offset"), value.alias("value"))))
+    return [F.lit(TOPIC_PREFIX + topic).alias("topic"), F.lit(0).alias("partition"), once.alias("r"), F.col(ts).alias("ts")]
+
+
+_RECORD = ["topic", "partition", "r.offset", "r.value", "ts"]
 
 
 def _iso(ts: str) -> Column:
@@ -41,12 +51,13 @@ def _millis(ts: str) -> Column:
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """every event as a trade. Operands of two decimals keep the product exact."""
-    return table(spark, sf_dir, "events").select(
+    k = F.col("k")
+    return events(spark, sf_dir).select(
         F.col("event_id").alias("trade_id"),
         _symbol(),
         F.col("value").cast("decimal(18,8)").alias("price"),
-        _k().cast("decimal(18,8)").alias("quantity"),
-        (F.col("value").cast("decimal(12,2)") * _k().cast("decimal(12,2)"))
+        k.cast("decimal(18,8)").alias("quantity"),
+        (F.col("value").cast("decimal(12,2)") * k.cast("decimal(12,2)"))
         .cast("decimal(38,16)")
         .alias("quote_qty"),
         F.col("event_type").isin("view", "click").alias("is_buyer_maker"),
@@ -66,14 +77,14 @@ def redelivered_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a change of one level; an error deletes it, anything else sets it."""
-    return table(spark, sf_dir, "events").select(
+    return events(spark, sf_dir).select(
         "event_id",
         "ts",
         "event_type",
         _symbol(),
         F.when(F.col("user_id") % 2 == 0, "bid").otherwise("ask").alias("side"),
         F.floor("value").cast("bigint").alias("price_level"),
-        _k().cast("bigint").alias("quantity"),
+        F.col("k").cast("bigint").alias("quantity"),
     )
 
 
@@ -149,13 +160,8 @@ def trade_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         after.alias("after"),
     )
     value = F.when(F.col("quantity") == 0, "garbage").otherwise(F.to_json(envelope, _EXPLICIT_NULLS))
-    return trades(spark, sf_dir).select(
-        F.lit(f"{TOPIC_PREFIX}trades").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("trade_id").alias("offset"),
-        value.alias("value"),
-        F.col("trade_time").alias("ts"),
-    )
+    rows = trades(spark, sf_dir).select(*_record("trades", F.col("trade_id"), value, "trade_time"))
+    return rows.select(*_RECORD)
 
 
 def symbol_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +174,7 @@ def symbol_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("QUOTE").alias("quote_asset"),
         status().alias("status"),
         F.col("value").cast("decimal(12,2)").cast("string").alias("tick_size"),
-        _k().alias("step_size"),
+        F.col("k").alias("step_size"),
         _iso("ts").alias("created_at"),
         _iso("ts").alias("updated_at"),
     )
@@ -180,13 +186,9 @@ def symbol_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_delete, image).alias("before"),
         F.when(~is_delete, image).alias("after"),
     )
-    return table(spark, sf_dir, "events").withColumn("op", op).select(
-        F.lit(f"{TOPIC_PREFIX}symbols").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.to_json(envelope, _EXPLICIT_NULLS).alias("value"),
-        "ts",
-    )
+    value = F.to_json(envelope, _EXPLICIT_NULLS)
+    rows = events(spark, sf_dir).withColumn("op", op)
+    return rows.select(*_record("symbols", F.col("event_id"), value, "ts")).select(*_RECORD)
 
 
 def exchange_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,13 +202,9 @@ def exchange_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             "after"
         ),
     )
-    return exchanges(spark, sf_dir).select(
-        F.lit(f"{TOPIC_PREFIX}exchanges").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("exchange_id").alias("offset"),
-        F.to_json(envelope, _EXPLICIT_NULLS).alias("value"),
-        at("2024-01-01").alias("ts"),
-    )
+    value = F.to_json(envelope, _EXPLICIT_NULLS)
+    rows = exchanges(spark, sf_dir).withColumn("ts", at("2024-01-01"))
+    return rows.select(*_record("exchanges", F.col("exchange_id"), value, "ts")).select(*_RECORD)
 
 
 def whole_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,12 +301,13 @@ def feed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.struct(
         F.format_string("Supplier#%09d", "user_id").alias("s"),
         F.col("value").cast("decimal(18,8)").cast("string").alias("p"),
-        _k().alias("q"),
+        F.col("k").alias("q"),
         F.col("event_id").alias("t"),
         F.col("event_type").isin("view", "click").alias("m"),
         _millis("ts").alias("T"),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(F.struct(body.alias("data"))).alias("message"))
+    message = F.explode(F.array(F.to_json(F.struct(body.alias("data")))))
+    return events(spark, sf_dir).select(message.alias("message"))
 
 
 def symbols(spark: SparkSession, sf_dir: str) -> DataFrame:

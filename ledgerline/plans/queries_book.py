@@ -9,7 +9,7 @@ from ledgerline.operators import book, cdc
 from ledgerline.operators import quality as q
 from ledgerline.plans import inputs, marts
 from ledgerline.plans import sql as s
-from ledgerline.plans.queries_log import SLICES, _slice, stage_log
+from ledgerline.plans.queries_log import SLICES, _slice, ship
 from ledgerline.plans.registry import query
 from ledgerline.session import new_run_dir
 from ledgerline.sources.log import file_log
@@ -62,10 +62,10 @@ def book_current_state(spark, sf_dir):
 @query("book_current_state_stream", _STATE)
 def book_current_state_stream(spark, sf_dir):
     root = new_run_dir(spark, "stream")
-    stage_log(inputs.book_log(spark, sf_dir), f"{root}/log")
     state = CurrentState(f"{root}/current", compact_every=2)
-    stream = file_log(spark, f"{root}/log", max_files_per_trigger=4)
-    start_current(stream, state, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+    for _ in ship(inputs.book_log(spark, sf_dir), f"{root}/log"):
+        stream = file_log(spark, f"{root}/log")
+        start_current(stream, state, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
     return state.read(spark, "orderbook_levels")
 
 

@@ -237,8 +237,8 @@ union all select 'event_id', 0 union all select 'ts', count(*) from events where
 )
 def dq_not_null(spark, sf_dir):
     """Errors lose their type and zeros their quantity; ids and times stay whole."""
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    rows = table(spark, sf_dir, "events").select(
+    k = F.col("k").cast("bigint")
+    rows = inputs.events(spark, sf_dir).select(
         "event_id",
         "ts",
         F.nullif("event_type", F.lit("error")).alias("event_type"),

@@ -16,6 +16,7 @@ from ledgerline.plans.gold import rebuild_trades
 from ledgerline.plans.registry import query
 from ledgerline.session import new_run_dir
 from ledgerline.sources.log import file_log, from_offset
+from ledgerline.streaming.current import CurrentState
 from ledgerline.streaming.landing import read_landing, write_landing
 from ledgerline.streaming.run import run_available
 
@@ -28,13 +29,17 @@ def _slice():
     return F.floor((F.dayofmonth("ts") - 1) * SLICES / _LAST_DAY)
 
 
-def stage_log(log: DataFrame, path: str) -> None:
-    """Ship a log as files in time order, one set of files per slice of the month."""
+def ship(log: DataFrame, path: str):
+    """Append a log to a folder slice by slice, yielding after each one.
+
+    The log is cached while its slices are written, as each is a filter over the same rows.
+    """
     rows = log.withColumn("slice", _slice()).persist()
     try:
         for n in range(SLICES):
-            part = rows.where(F.col("slice") == n).select("topic", "partition", "offset", "value")
-            part.coalesce(4).write.mode("append").parquet(path)
+            part = rows.where(F.col("slice") == n)
+            part.select("topic", "partition", "offset", "value").write.mode("append").parquet(path)
+            yield n
     finally:
         rows.unpersist()
 
@@ -190,10 +195,11 @@ union all
 select 'current', 'exchanges', '-', count(*) from exchange_log""",
 )
 def cdc_stream_ingest(spark, sf_dir):
-    """Both streams over the whole log in time-ordered micro-batches; rows per tier and table."""
+    """Both streams, restarted from their checkpoints for every slice; rows per tier and table."""
     root = new_run_dir(spark, "stream")
-    stage_log(inputs.whole_log(spark, sf_dir), f"{root}/log")
-    state = run_available(file_log(spark, f"{root}/log", max_files_per_trigger=4), root)
+    state = CurrentState(f"{root}/current")
+    for _ in ship(inputs.whole_log(spark, sf_dir), f"{root}/log"):
+        run_available(file_log(spark, f"{root}/log"), root, state)
     landed = _landed(spark, f"{root}/landing").groupBy(
         F.lit("landing").alias("tier"), "src_table", F.coalesce("op", F.lit("?")).alias("op")
     )

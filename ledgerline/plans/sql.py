@@ -71,7 +71,7 @@ book_log as (
   select 'orderbook_levels' as src_table, event_id * 2 as kafka_offset,
          case when event_type = 'error' then 'd'
               when lag(event_id) over w is null then 'c' else 'u' end as op,
-         epoch_ms(ts) as ts_ms, event_id as source_lsn, symbol_id, ts,
+         epoch_us(ts) // 1000 as ts_ms, event_id as source_lsn, symbol_id, ts,
          lag(event_id) over w as prev_id, *exclude (symbol_id, ts)
   from book window w as (partition by symbol_id, side, price_level order by event_id))"""
 )
@@ -81,7 +81,7 @@ trade_log as (
   select 'trades' as src_table, event_id as kafka_offset, {K.format(t="bigint")} as k,
          case when k = 0 then null when event_type = 'error' then 'u'
               when event_type = 'signup' then 'r' else 'c' end as op,
-         case when k <> 0 then epoch_ms(ts) end as ts_ms,
+         case when k <> 0 then epoch_us(ts) // 1000 end as ts_ms,
          case when k <> 0 then event_id end as source_lsn,
          case when k <> 0 then user_id % 3 + 1 end as symbol_id, ts, event_type
   from events)"""
@@ -90,7 +90,7 @@ SYMBOL_LOG = """
 symbol_log as (
   select 'symbols' as src_table, event_id as kafka_offset,
          case when event_type = 'purchase' then 'd' else 'u' end as op,
-         epoch_ms(ts) as ts_ms, event_id as source_lsn, user_id as symbol_id, ts
+         epoch_us(ts) // 1000 as ts_ms, event_id as source_lsn, user_id as symbol_id, ts
   from events)"""
 
 EXCHANGE_LOG = """

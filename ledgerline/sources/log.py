@@ -36,13 +36,12 @@ def kafka_log(
     return raw.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
-def file_log(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """The same log shipped as Parquet files, oldest file first."""
-    return (
-        spark.readStream.schema(LOG)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(path)
-    )
+def file_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same log shipped as Parquet files, oldest file first; by default all new files at once."""
+    reader = spark.readStream.schema(LOG)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)
 
 
 def from_offset(log: DataFrame, start) -> DataFrame:

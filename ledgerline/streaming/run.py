@@ -19,9 +19,8 @@ def run_forever(spark: SparkSession, log: DataFrame, root: str) -> None:
     spark.streams.awaitAnyTermination()
 
 
-def run_available(log: DataFrame, root: str, state: CurrentState | None = None) -> CurrentState:
-    """Work off what the log holds now, in its micro-batches, and stop."""
-    state = state or CurrentState(f"{root}/current")
+def run_available(log: DataFrame, root: str, state: CurrentState) -> None:
+    """Work off what has arrived since the last run, in micro-batches, and stop."""
     once = {"availableNow": True}
     queries = [
         start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing", once),
@@ -29,4 +28,3 @@ def run_available(log: DataFrame, root: str, state: CurrentState | None = None)
     ]
     for q in queries:
         q.awaitTermination()
-    return state

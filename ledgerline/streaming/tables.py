@@ -90,20 +90,28 @@ class AppendedTable:
         self.schema = StructType.fromDDL(f"{layout}, id_bucket bigint, {BATCH} bigint")
 
     def append(self, rows: DataFrame, batch_id: int, order: list[str]) -> None:
+        """Store the rows whose key is new. The batch is cached, its size being the admission limit."""
         spark = rows.sparkSession
-        unique = latest_per_key(rows, self.keys, order).select(*self.names)
-        bucketed = unique.withColumn("id_bucket", F.floor(F.col(self.id_column) / self.bucket))
-        stored = read_batches(spark, self.path, self.schema, upto=batch_id - 1)
-        fresh = new_rows(stored.where(self._touched(rows)), bucketed, self.keys)
-        write_clustered(fresh, f"{self.path}/{BATCH}={batch_id}", ["symbol_id", "id_bucket"])
+        unique = latest_per_key(rows, self.keys, order).select(
+            *self.names, F.floor(F.col(self.id_column) / self.bucket).alias("id_bucket")
+        ).persist()
+        try:
+            stored = read_batches(spark, self.path, self.schema, upto=batch_id - 1)
+            # The batch is the small side: a semi join can broadcast it, so the stored keys are
+            # scanned but not shuffled, and only the duplicates reach the anti join.
+            known = stored.where(self._touched(unique)).join(unique.select(*self.keys), self.keys, "left_semi")
+            fresh = new_rows(known, unique, self.keys)
+            write_clustered(fresh, f"{self.path}/{BATCH}={batch_id}", ["symbol_id", "id_bucket"])
+        finally:
+            unique.unpersist()
 
     def _touched(self, rows: DataFrame) -> Column:
         """Partition filter covering every bucket of the batch."""
-        buckets = rows.select(F.floor(F.col(self.id_column) / self.bucket).alias("b")).distinct()
-        some = [r.b for r in buckets.limit(PRUNE_LIST + 1).collect()]
+        buckets = rows.select("id_bucket").distinct()
+        some = [r.id_bucket for r in buckets.limit(PRUNE_LIST + 1).collect()]
         if len(some) <= PRUNE_LIST:
             return F.col("id_bucket").isin(some)
-        ends = buckets.agg(F.min("b").alias("lo"), F.max("b").alias("hi")).first()
+        ends = buckets.agg(F.min("id_bucket").alias("lo"), F.max("id_bucket").alias("hi")).first()
         return F.col("id_bucket").between(ends.lo, ends.hi)
 
     def current(self, spark: SparkSession) -> DataFrame:
