@@ -141,7 +141,9 @@ def top_of_book(levels: DataFrame) -> DataFrame:
         F.count_if(bid).alias("bid_levels"),
         F.count_if(ask).alias("ask_levels"),
     )
-    gap = F.col("best_ask") - F.col("best_bid")
+    # Spark drops a decimal place when it subtracts two decimal(38,18); one digit less is exact.
+    bid_price, ask_price = (F.col(c).try_cast("decimal(37,18)") for c in ("best_bid", "best_ask"))
+    gap = F.coalesce(ask_price - bid_price, F.col("best_ask") - F.col("best_bid"))
     pct = F.when(
         F.col("best_bid") > 0, gap.cast("double") / F.col("best_bid").cast("double") * 100
     )
