@@ -15,7 +15,7 @@ def spark(tmp_path_factory):
     conf = {
         "spark.sql.shuffle.partitions": "4",
         "spark.checkpoint.dir": str(root / "shared"),
-        "spark.sql.debug.maxToStringFields": "1000",
+        "spark.sql.maxMetadataStringLength": "10000",
         "spark.sql.warehouse.dir": str(root / "warehouse"),
     }
     session = build_session("tests", "local[4]", conf)
