@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.ordered import with_previous, with_row_number
 from ledgerline.sources.log import TOPIC_PREFIX
-from ledgerline.sources.tables import table
+from ledgerline.sources.tables import spread, table
 
 _ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 _EXPLICIT_NULLS = {"ignoreNullFields": "false"}
@@ -29,7 +29,8 @@ def _symbol() -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with the number ``k`` taken out of their JSON properties, parsed once."""
-    return table(spark, sf_dir, "events").select("*", F.json_tuple("props", "k").alias("k")).drop("props")
+    rows = spread(table(spark, sf_dir, "events"))
+    return rows.select("*", F.json_tuple("props", "k").alias("k")).drop("props")
 
 
 def _record(topic: str, offset: Column, value: Column, ts: str) -> list[Column]:

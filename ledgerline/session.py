@@ -19,7 +19,12 @@ _local_roots: dict[str, str] = {}
 
 
 def build_session(app_name="ledgerline", master=None, conf=None) -> SparkSession:
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        # Recording the call site of every column costs more than planning the queries here.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **(conf or {})}.items():

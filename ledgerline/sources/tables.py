@@ -11,6 +11,15 @@ def table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that comes in fewer splits than there are cores.
+
+    A table of many files or row groups already keeps every core busy and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def finished_versions(spark: SparkSession, path: str, column: str) -> list[int]:
     """Numbers n of the folders ``path/column=n`` whose write ran to its end.
 
@@ -24,6 +33,12 @@ def finished_versions(spark: SparkSession, path: str, column: str) -> list[int]:
     return sorted(int(m.group(1)) for m in found if m)
 
 
+def remove_versions(spark: SparkSession, path: str, column: str, numbers: list[int]) -> None:
+    for n in numbers:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={n}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_clustered(df: DataFrame, path: str, partitions: list[str], mode: str = "overwrite"):
     """Write Hive-style partitions with few, evenly sized files.
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.schemas import CURRENT, KEYS
 from ledgerline.operators.cdc import book_changes, decode, dimension_changes, trade_rows
+from ledgerline.sources.log import TOPIC_PREFIX
 from ledgerline.streaming.tables import AppendedTable, MergedTable
 
 TRIGGER = {"processingTime": "15 seconds"}
@@ -56,6 +57,7 @@ class CurrentState:
             if batch_id > 0 and batch_id % self.compact_every == 0:
                 for table in (self.book, *self.dims.values()):
                     table.compact(spark, batch_id)
+                    table.vacuum(spark)
         finally:
             batch.unpersist()
 
@@ -65,9 +67,15 @@ class CurrentState:
         return (self.book if name == "orderbook_levels" else self.dims[name]).current(spark)
 
 
-def start_current(log: DataFrame, state: CurrentState, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_current(
+    log: DataFrame,
+    state: CurrentState,
+    checkpoint: str,
+    trigger: dict | None = None,
+    topic_prefix: str = TOPIC_PREFIX,
+) -> StreamingQuery:
     return (
-        decode(log)
+        decode(log, topic_prefix)
         .writeStream.queryName("current")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))

@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from ledgerline.functions.schemas import FACTS, LANDING, PAYLOADS, columns
 from ledgerline.operators.cdc import decode, landing_rows
+from ledgerline.sources.log import TOPIC_PREFIX
 from ledgerline.sources.tables import write_clustered
 from ledgerline.streaming.tables import BATCH, read_batches
 
@@ -41,12 +42,18 @@ def read_landing(spark: SparkSession, path: str, table: str) -> DataFrame:
     return rows.select(*columns(LANDING))
 
 
-def start_landing(log: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_landing(
+    log: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    topic_prefix: str = TOPIC_PREFIX,
+) -> StreamingQuery:
     def land(batch: DataFrame, batch_id: int) -> None:
         write_landing(batch, path, batch_id)
 
     return (
-        decode(log)
+        decode(log, topic_prefix)
         .writeStream.queryName("landing")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))

@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import argparse
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.session import build_session
+from ledgerline.sources.log import ADMISSION_LIMIT, TOPIC_PREFIX, kafka_log
 from ledgerline.streaming.current import CurrentState, start_current
 from ledgerline.streaming.landing import start_landing
 
 
-def run_forever(spark: SparkSession, log: DataFrame, root: str) -> None:
+def run_forever(spark: SparkSession, log: DataFrame, root: str, topic_prefix: str = TOPIC_PREFIX) -> None:
     """Land and fold the log until either query dies, and surface its error.
 
     The two read the log independently and keep separate checkpoints, so each resumes where it
     stopped.
     """
-    start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing")
-    start_current(log, CurrentState(f"{root}/current"), f"{root}/checkpoints/current")
+    state = CurrentState(f"{root}/current")
+    start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing", None, topic_prefix)
+    start_current(log, state, f"{root}/checkpoints/current", None, topic_prefix)
     spark.streams.awaitAnyTermination()
 
 
@@ -28,3 +34,21 @@ def run_available(log: DataFrame, root: str, state: CurrentState) -> None:
     ]
     for q in queries:
         q.awaitTermination()
+
+
+def main() -> None:
+    """``spark-submit -m ledgerline.streaming.run --bootstrap-servers ... --root ...``"""
+    args = argparse.ArgumentParser(description="Land and fold a change log until stopped.")
+    args.add_argument("--bootstrap-servers", required=True)
+    args.add_argument("--root", required=True, help="folder for tables and checkpoints, reachable by all executors")
+    args.add_argument("--topic-prefix", default=TOPIC_PREFIX)
+    args.add_argument("--starting-offsets", default=os.getenv("STARTING_OFFSETS", "earliest"))
+    args.add_argument("--max-per-trigger", type=int, default=ADMISSION_LIMIT)
+    a = args.parse_args()
+    spark = build_session("ledgerline-streams")
+    log = kafka_log(spark, a.bootstrap_servers, a.topic_prefix, a.starting_offsets, a.max_per_trigger)
+    run_forever(spark, log, a.root, a.topic_prefix)
+
+
+if __name__ == "__main__":
+    main()

@@ -13,10 +13,13 @@ from pyspark.sql.types import StructType
 
 from ledgerline.operators.latest import latest_per_key
 from ledgerline.operators.merge import fold_changes, new_rows
-from ledgerline.sources.tables import finished_versions, write_clustered
+from ledgerline.sources.tables import finished_versions, remove_versions, write_clustered
 
 BATCH = "batch_id"
 
+# Up to this many batches are named one by one, beyond it the whole table is listed and pruned.
+LIST_FOLDERS = 50
+
 # Up to this many partition values go into a pruning filter one by one, beyond it their range.
 PRUNE_LIST = 1_000
 
@@ -29,8 +32,11 @@ def read_batches(
     done = [n for n in done if n > above and (upto is None or n <= upto)]
     if not done:
         return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).option("basePath", path)
+    if len(done) <= LIST_FOLDERS:
+        return reader.parquet(*[f"{path}/{BATCH}={n}" for n in done])
     n = F.col(BATCH)
-    return spark.read.schema(schema).parquet(path).where((n > above) & (n <= done[-1]))
+    return reader.parquet(path).where((n > above) & (n <= done[-1]))
 
 
 class MergedTable:
@@ -75,6 +81,19 @@ class MergedTable:
             folded = folded.where(~F.col("deleted"))
         folded.drop(BATCH).write.mode("overwrite").parquet(f"{self.path}/base/{BATCH}={batch_id}")
 
+    def vacuum(self, spark: SparkSession, keep_bases: int = 2) -> None:
+        """Delete what no reader needs once it is older than the last ``keep_bases`` bases.
+
+        Two bases are the least that lets the newest batch be replayed, compaction included.
+        """
+        bases = finished_versions(spark, f"{self.path}/base", BATCH)
+        if len(bases) < max(keep_bases, 2):
+            return
+        oldest = bases[-max(keep_bases, 2)]
+        deltas = finished_versions(spark, f"{self.path}/delta", BATCH)
+        remove_versions(spark, f"{self.path}/delta", BATCH, [n for n in deltas if n <= oldest])
+        remove_versions(spark, f"{self.path}/base", BATCH, [n for n in bases if n < oldest])
+
 
 class AppendedTable:
     """Immutable rows, each key stored once and never rewritten.

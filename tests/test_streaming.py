@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.schemas import CURRENT, KEYS, LOG
 from ledgerline.operators import book, cdc
 from ledgerline.plans import inputs
+from ledgerline.plans.build import run_build
 from ledgerline.sources.log import file_log
 from ledgerline.sources.tables import finished_versions
 from ledgerline.streaming.current import VERSION, CurrentState, start_current
@@ -46,7 +47,7 @@ def test_state_does_not_depend_on_the_batches(spark, run_dir, book_log, expected
     state = CurrentState(f"{run_dir}/current", compact_every=2)
     stream = file_log(spark, f"{run_dir}/log", max_files_per_trigger=1)
     start_current(stream, state, f"{run_dir}/cp", ONCE).awaitTermination()
-    assert len(finished_versions(spark, f"{run_dir}/current/orderbook_levels/delta", "batch_id")) == n
+    assert finished_versions(spark, f"{run_dir}/current/orderbook_levels/delta", "batch_id")[-1] == n - 1
     assert rows(state.read(spark, "orderbook_levels")) == expected
 
 
@@ -169,3 +170,47 @@ def test_landing_stream_admits_a_limited_number_of_files(spark, run_dir, book_lo
     q = start_landing(file_log(spark, f"{run_dir}/log", 1), f"{run_dir}/landing", f"{run_dir}/cp", ONCE)
     q.awaitTermination()
     assert finished_versions(spark, f"{run_dir}/landing", "batch_id") == [0, 1, 2]
+
+
+def test_vacuum_keeps_state_and_replay(spark, run_dir, book_log, expected):
+    state = CurrentState(run_dir, compact_every=1)
+    parts = [cdc.decode(p) for p in slices(book_log, 4)]
+    for n, p in enumerate(parts):
+        state.write_batch(p, n)
+    book_path = f"{run_dir}/orderbook_levels"
+    assert finished_versions(spark, f"{book_path}/base", "batch_id") == [2, 3]
+    assert finished_versions(spark, f"{book_path}/delta", "batch_id") == [3]
+    assert rows(state.read(spark, "orderbook_levels")) == expected
+    state.write_batch(parts[3], 3)
+    assert rows(state.read(spark, "orderbook_levels")) == expected
+
+
+def test_listing_many_batches_reads_the_same(spark, run_dir, book_log, monkeypatch):
+    for n, part in enumerate(slices(book_log, 2)):
+        write_landing(cdc.decode(part), run_dir, n)
+    named = rows(read_landing(spark, run_dir, "orderbook_levels"))
+    monkeypatch.setattr("ledgerline.streaming.tables.LIST_FOLDERS", 0)
+    assert rows(read_landing(spark, run_dir, "orderbook_levels")) == named
+
+
+def test_build_after_the_streams(spark, run_dir):
+    """Stream, build, flip a status, build again: a second version, the first one closed."""
+    state = CurrentState(f"{run_dir}/current")
+    log = inputs.whole_log(spark, SF).drop("ts")
+    state.write_batch(cdc.decode(log), 0)
+    at = lambda d: F.lit(f"2024-02-0{d} 00:00:00").cast("timestamp")
+    gold, checks = run_build(spark, state, f"{run_dir}/gold", 0, at(1))
+    first = gold["dim_symbol"].collect()
+    assert first and all(r.is_current for r in first)
+    failed = {r.check_name for r in checks.where("violations > 0").collect()}
+    assert failed <= {"spread not negative"}
+
+    flipped = {"symbol_id": first[0].symbol_id, "symbol": "S", "status": "FLIPPED"}
+    value = json.dumps({"op": "u", "ts_ms": 2000000000000, "source": {"lsn": 10**9}, "after": flipped})
+    change = spark.createDataFrame([("cdc.public.symbols", 0, 10**9, value)], LOG)
+    state.write_batch(cdc.decode(change), 1)
+    gold, checks = run_build(spark, state, f"{run_dir}/gold", 1, at(2))
+    versions = gold["dim_symbol"].where(F.col("symbol_id") == first[0].symbol_id)
+    assert rows(versions, "is_current") == [(False,), (True,)]
+    assert checks.where("check_name like '%version%' and violations > 0").isEmpty()
+    assert gold["dim_symbol"].count() == len(first) + 1
