@@ -100,6 +100,8 @@ class SnapshotHistory:
 
     def history(self) -> DataFrame:
         runs = finished_versions(self.spark, self.path, "run")
+        if not runs:
+            raise ValueError(f"no finished snapshot run under {self.path}")
         closed = (F.col("state") == "closed") & F.col("run").isin(runs)
         live = (F.col("state") == "open") & (F.col("run") == runs[-1])
         return self._read().where(closed | live).drop("run", "state")

@@ -65,7 +65,8 @@ def book_current_state_stream(spark, sf_dir):
     state = CurrentState(f"{root}/current", compact_every=2)
     for _ in ship(inputs.book_log(spark, sf_dir), f"{root}/log"):
         stream = file_log(spark, f"{root}/log")
-        start_current(stream, state, f"{root}/checkpoint", {"availableNow": True}).awaitTermination()
+        once = {"availableNow": True}
+        start_current(stream, state, f"{root}/checkpoint", once, name=root).awaitTermination()
     return state.read(spark, "orderbook_levels")
 
 

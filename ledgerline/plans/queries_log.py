@@ -199,7 +199,7 @@ def cdc_stream_ingest(spark, sf_dir):
     root = new_run_dir(spark, "stream")
     state = CurrentState(f"{root}/current")
     for _ in ship(inputs.whole_log(spark, sf_dir), f"{root}/log"):
-        run_available(file_log(spark, f"{root}/log"), root, state)
+        run_available(file_log(spark, f"{root}/log"), root, state, name=root)
     landed = _landed(spark, f"{root}/landing").groupBy(
         F.lit("landing").alias("tier"), "src_table", F.coalesce("op", F.lit("?")).alias("op")
     )

@@ -73,10 +73,11 @@ def start_current(
     checkpoint: str,
     trigger: dict | None = None,
     topic_prefix: str = TOPIC_PREFIX,
+    name: str = "current",
 ) -> StreamingQuery:
     return (
         decode(log, topic_prefix)
-        .writeStream.queryName("current")
+        .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
         .foreachBatch(state.write_batch)

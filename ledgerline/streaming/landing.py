@@ -48,13 +48,14 @@ def start_landing(
     checkpoint: str,
     trigger: dict | None = None,
     topic_prefix: str = TOPIC_PREFIX,
+    name: str = "landing",
 ) -> StreamingQuery:
     def land(batch: DataFrame, batch_id: int) -> None:
         write_landing(batch, path, batch_id)
 
     return (
         decode(log, topic_prefix)
-        .writeStream.queryName("landing")
+        .writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
         .foreachBatch(land)

@@ -25,12 +25,17 @@ def run_forever(spark: SparkSession, log: DataFrame, root: str, topic_prefix: st
     spark.streams.awaitAnyTermination()
 
 
-def run_available(log: DataFrame, root: str, state: CurrentState) -> None:
-    """Work off what has arrived since the last run, in micro-batches, and stop."""
+def run_available(log: DataFrame, root: str, state: CurrentState, name: str = "available") -> None:
+    """Work off what has arrived since the last run, in micro-batches, and stop.
+
+    Active queries of a session need different names, hence ``name`` as their prefix.
+    """
     once = {"availableNow": True}
     queries = [
-        start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing", once),
-        start_current(log, state, f"{root}/checkpoints/current", once),
+        start_landing(
+            log, f"{root}/landing", f"{root}/checkpoints/landing", once, name=f"{name} landing"
+        ),
+        start_current(log, state, f"{root}/checkpoints/current", once, name=f"{name} current"),
     ]
     for q in queries:
         q.awaitTermination()

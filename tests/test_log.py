@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerline.functions import exprs
@@ -11,7 +12,7 @@ from ledgerline.functions.ddl import create_tables, table_ddl
 from ledgerline.functions.schemas import LOG
 from ledgerline.operators import cdc
 from ledgerline.operators.feed import flatten_symbol_info, parse_trades, resolve_symbols
-from ledgerline.sources.log import from_offset
+from ledgerline.sources.log import from_offset, kafka_log
 
 LEVEL = {
     "symbol_id": 1,
@@ -197,3 +198,9 @@ def test_ddl(spark):
     names = {r.tableName for r in spark.sql("show tables in lake_test").collect()}
     assert {"landing_trades", "trades", "orderbook_levels", "symbols", "exchanges"} <= names
     assert "days(trade_time), symbol_id" in table_ddl("x.y", "iceberg")["trades"]
+
+
+def test_kafka_source_asks_for_its_connector(spark):
+    """The connector is not on this classpath; everything up to loading it is in order."""
+    with pytest.raises(AnalysisException, match="(?i)kafka"):
+        kafka_log(spark, "broker:9092", "shop.", "latest", 5)

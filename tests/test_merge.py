@@ -6,7 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerline.operators.latest import first_ranked, latest_per_key
-from ledgerline.operators.merge import fold_changes, keyed_merge, new_rows, upsert_if_changed
+from ledgerline.operators.merge import fold_changes, keyed_merge, merge_into_table, new_rows, upsert_if_changed
 
 ROW = "k int, v string, n int"
 
@@ -95,3 +95,10 @@ def test_latest_forms_agree(spark):
 def test_first_ranked_keeps_n(spark):
     df = spark.createDataFrame([(k, i) for k in (1, 2) for i in range(5)], "k int, i int")
     assert rows(first_ranked(df, ["k"], [F.col("i").desc()], 2)) == [(1, 3), (1, 4), (2, 3), (2, 4)]
+
+
+def test_catalog_merge_is_refused_by_plain_files_only(spark):
+    """Parquet tables have no row-level operations; the statement itself is accepted."""
+    spark.sql("create table if not exists merge_target (k int, v string, n int) using parquet")
+    with pytest.raises(Exception, match="MERGE INTO TABLE"):
+        merge_into_table(batch(spark, (1, "a", 1, False)), "merge_target", ["k"], ["v", "n"])
