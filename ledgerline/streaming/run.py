@@ -19,6 +19,7 @@ def run_forever(spark: SparkSession, log: DataFrame, root: str, topic_prefix: st
     The two read the log independently and keep separate checkpoints, so each resumes where it
     stopped.
     """
+    spark.streams.resetTerminated()
     state = CurrentState(f"{root}/current")
     start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing", None, topic_prefix)
     start_current(log, state, f"{root}/checkpoints/current", None, topic_prefix)

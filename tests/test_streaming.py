@@ -3,17 +3,19 @@ import os
 
 import pytest
 from conftest import SF, rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerline.functions.schemas import CURRENT, KEYS, LOG
 from ledgerline.operators import book, cdc
 from ledgerline.plans import inputs
 from ledgerline.plans.build import run_build
+from ledgerline.plans.gold import rebuild_trades
 from ledgerline.sources.log import file_log
 from ledgerline.sources.tables import finished_versions
 from ledgerline.streaming.current import VERSION, CurrentState, start_current
 from ledgerline.streaming.landing import read_landing, start_landing, write_landing
-from ledgerline.streaming.run import run_available
+from ledgerline.streaming.run import run_available, run_forever
 from ledgerline.streaming.tables import AppendedTable, MergedTable
 
 ONCE = {"availableNow": True}
@@ -214,3 +216,24 @@ def test_build_after_the_streams(spark, run_dir):
     assert rows(versions, "is_current") == [(False,), (True,)]
     assert checks.where("check_name like '%version%' and violations > 0").isEmpty()
     assert gold["dim_symbol"].count() == len(first) + 1
+
+
+def test_rebuild_from_landing_deduplicates_and_compacts(spark, run_dir):
+    decoded = cdc.decode(inputs.trade_log(spark, SF))
+    for batch_id in range(2):
+        write_landing(decoded, f"{run_dir}/landing", batch_id)
+    rebuild_trades(spark, f"{run_dir}/landing", f"{run_dir}/trades")
+    rebuilt = spark.read.parquet(f"{run_dir}/trades")
+    assert rebuilt.count() == cdc.trade_rows(decoded).count()
+    folders = [files for _, _, files in os.walk(f"{run_dir}/trades") if any(f.startswith("part-") for f in files)]
+    assert folders and all(len([f for f in files if f.startswith("part-")]) == 1 for files in folders)
+
+
+def test_pipeline_stops_with_the_error_of_a_dead_stream(spark, run_dir, book_log):
+    deliver(book_log, f"{run_dir}/log")
+    with open(f"{run_dir}/current", "w") as f:
+        f.write("a file where the tables should go")
+    with pytest.raises(StreamingQueryException):
+        run_forever(spark, file_log(spark, f"{run_dir}/log"), run_dir)
+    for q in spark.streams.active:
+        q.stop()
