@@ -227,6 +227,23 @@ def train(docs: DataFrame, text_col: str = "text") -> SpanClassifier:
     return SpanClassifier.fit(reliabilities(counts), counts)
 
 
+def model_spans(texts: list[str | None], model: SpanClassifier) -> list[list[dict]]:
+    """Spans of each text: strict ones and those the classifier accepts, by kind and start."""
+    known: dict[str, float] = {}
+    result = []
+    for text in texts:
+        spans = []
+        for kind, start, end, strict, vote, shape in candidates(text):
+            key = pattern(kind, vote, shape)
+            if key not in known:
+                known[key] = model.chance(key)
+            if strict or known[key] >= ACCEPT:
+                spans.append((KINDS.index(kind), start, end, strict, known[key]))
+        spans.sort()
+        result.append([{"kind": KINDS[k], "start": s, "end": e, "strict": b, "chance": p} for k, s, e, b, p in spans])
+    return result
+
+
 def find(docs: DataFrame, model: SpanClassifier, text_col: str = "text", out: str = "result") -> DataFrame:
     """Rows of ``docs`` as struct ``row`` beside a struct ``out`` with the array ``spans``.
 
@@ -236,20 +253,7 @@ def find(docs: DataFrame, model: SpanClassifier, text_col: str = "text", out: st
     """
 
     def run(block):
-        known: dict[str, float] = {}
-        result = []
-        for text in block["text"]:
-            spans = []
-            for kind, start, end, strict, vote, shape in candidates(text):
-                key = pattern(kind, vote, shape)
-                if key not in known:
-                    known[key] = model.chance(key)
-                if strict or known[key] >= ACCEPT:
-                    spans.append((KINDS.index(kind), start, end, strict, known[key]))
-            result.append([
-                {"kind": KINDS[k], "start": s, "end": e, "strict": b, "chance": p} for k, s, e, b, p in sorted(spans)
-            ])
-        return {"spans": result}
+        return {"spans": model_spans(block["text"], model)}
 
     spans = "spans array<struct<kind:string,start:bigint,end:bigint,strict:boolean,chance:double>>"
     return map_rows(docs, {"text": F.col(quoted(text_col)).cast("string")}, spans, run, out)
@@ -267,3 +271,15 @@ def mask(text: str | None, spans: list[dict]) -> str | None:
             out += [text[at : s["start"]], f"<{s['kind']}>"]
         at = s["end"]
     return "".join([*out, text[at:]])
+
+
+def redact(docs: DataFrame, model: SpanClassifier, text_col: str = "text", out: str = "result") -> DataFrame:
+    """Rows of ``docs`` as struct ``row`` beside a struct ``out``: the ``text`` with its spans masked
+    and ``n_spans``. Null stays null."""
+
+    def run(block):
+        spans = model_spans(block["text"], model)
+        masked = [mask(t, s) for t, s in zip(block["text"], spans, strict=True)]
+        return {"text": masked, "n_spans": [len(s) for s in spans]}
+
+    return map_rows(docs, {"text": F.col(quoted(text_col)).cast("string")}, "text string, n_spans bigint", run, out)

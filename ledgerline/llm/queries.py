@@ -8,21 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, fmindex, langid, packing, pii, quality, topk, warc
+from ledgerline.llm import chat, fmindex, langid, lm, packing, pii, quality, setjoin, topk, warc
 from ledgerline.session import new_run_dir, pin_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+SETTINGS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+
+
+def prepare(spark: SparkSession) -> None:
+    """Settings the operators rely on: UTC, adaptive execution, Arrow batches of bounded size."""
+    pin_settings(spark)
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
 
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            pin_settings(spark)
-            for key, value in SETTINGS.items():
-                spark.conf.set(key, value)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
@@ -139,3 +144,15 @@ def op10(spark, sf_dir):
         F.sha2(joined("base"), 256).alias("base_sha256"),
         joined("all").alias("spans"),
     )
+
+
+@query("op6_lm_scores")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lm.score(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2, new_run_dir(spark, "lm"))
+
+
+@query("op4_near_duplicates")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return setjoin.components(docs, new_run_dir(spark, "setjoin"))
