@@ -87,7 +87,7 @@ def task_rows(
 
     def run(batches):
         for got in fn(blocks(batches, block_bytes)):
-            arrays = [pa.array(got[f.name], type=f.type) for f in arrow]
+            arrays = [v if isinstance(v := got[f.name], pa.Array) else pa.array(v, type=f.type) for f in arrow]
             if len(arrays[0]):
                 yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 

@@ -8,11 +8,11 @@ size o link if n + m <= o (1 + J) / J, so linking each to the smallest set of it
 same components as all pairs, in as many rows as there are subsets.
 
 Large sets: of the shingles in one global order, rarest first, linked sets share one among the first
-n - ceil(J n) + 1, so only those go into inverted lists. The lists are first probed from a few heads,
-each set in one list per round; what links is contracted to one label. Then the lists are scanned
-from every set that isn't of a list's most frequent label, against all members of other labels. So
-a group of thousands of near copies costs some probes per member, not all its pairs, and still no
-pair of different labels goes unchecked.
+n - ceil(J n) + 1, so only those go into inverted lists. The lists are scanned from every set that is
+not of a list's most frequent label (at first, each class is its own label). Where lists are long, the
+first scans take up only a few partners of each set; what links is contracted to one label. The last
+scan has no limit: every pair of different labels that shares a list is checked. So a group of
+thousands of near copies costs a few checks per member, not all its pairs, and no link is lost.
 
 The boundary between small and large is where the counted sizes make enumeration and lists cost the
 same. Candidates are checked by parity bitmaps (the number of differing bits is never more than the
@@ -26,6 +26,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +40,8 @@ HEAVY_MAX = 1_000_000  # entries of the broadcast order of frequent shingles; ot
 BROADCAST_IDS = 2_000_000  # ids that may be broadcast; more are joined by shuffling
 MAX_SMALL = 48
 LIST_COST = 8.0  # what a list entry costs in rows of an enumerated subset: counting, scanning, checking
-HEADS = 8
-MAX_ROUNDS = 6
-PROBE_YIELD = 0.05  # share of probes that must link for another round
+ROUNDS = (8, 64, 512)  # partners checked per set before the scan without limit
+MEAN_PARTNERS = 8  # open pairs per list entry up to which no such round is needed
 SCAN_BLOCK = 1024
 HELD = 8_000_000
 CACHE_WORDS = 1_000_000
@@ -73,10 +73,6 @@ class Threshold:
         """Shingles of which one at least is shared with any linked set."""
         return n - self.least_partner(n) + 1
 
-    def short_prefix(self, n):
-        """The same with linked sets that are not smaller."""
-        return n - self.overlap(n, n) + 1
-
     def overlaps(self, n, largest) -> list[int]:
         """Overlap sizes with which a set of n elements can link to sets of at most ``largest``."""
         partners = range(max(1, self.least_partner(n)), min(largest, n * self.den // self.num) + 1)
@@ -269,42 +265,68 @@ def _exact_check(rule: Threshold):
     return run
 
 
-def _scan(rule: Threshold):
-    """Pairs of each scanning set with the members of its lists, each once; rows come by set."""
+def _order(ids: np.ndarray) -> np.ndarray:
+    """A fixed order of partners that has nothing to do with ids or lists."""
+    return mixed(ids.astype(np.uint64) * _MIX[2])
+
+
+def first_partners(own: np.ndarray, partner: np.ndarray, limit: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs by ``own``, of each at most ``limit`` partners, the first in the fixed order."""
+    rank = _order(partner)
+    by = np.lexsort((rank, own))
+    own, partner = own[by], partner[by]
+    fresh = np.r_[True, (own[1:] != own[:-1]) | (partner[1:] != partner[:-1])][: len(own)]
+    own, partner = own[fresh], partner[fresh]
+    if limit is not None and len(own):
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        place = np.arange(len(own)) - np.repeat(starts, np.diff(np.r_[starts, len(own)]))
+        own, partner = own[place < limit], partner[place < limit]
+    return own, partner
+
+
+def _scan_lists(rule: Threshold, limit: int | None):
+    """Partners of each scanning set in each block of its lists."""
 
     def run(parts):
-        own, found = None, []
+        for part in parts:
+            members = part.column("members").combine_chunks()
+            members = pa.concat_arrays(members.chunks) if isinstance(members, pa.ChunkedArray) else members
+            rows = np.repeat(np.arange(part.num_rows), np.diff(members.offsets.to_numpy()))
+            flat = members.flatten()
+            y, m, y_at, y_label = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            x, n, x_at, x_label, top = (part.column(c).to_numpy()[rows] for c in ("class", "n", "at", "label", "top"))
+            # At the first shingle in common all before it differ, so neither side may stand too late.
+            overlap = rule.overlap(n, m)
+            ok = (y_label != x_label) & (x_at <= n - overlap) & (y_at <= m - overlap)
+            if limit is None:
+                ok &= (y_label == top) | (y < x)  # of two sets that both scan the list, one has the pair
+            own, partner = first_partners(x[ok], y[ok], limit)
+            starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+            partners = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(own)].astype(np.int32)), pa.array(partner))
+            yield {"class": own[starts], "partners": partners}
 
-        def finish():
-            if own is None or not found:
-                return None
-            ids = np.unique(np.concatenate(found))
-            return {"a": np.minimum(ids, own), "b": np.maximum(ids, own)}
+    return run
+
+
+def _merge_partners(limit: int | None):
+    """The pairs to check, from partners that come by set."""
 
+    def pairs(own, partner):
+        own, partner = first_partners(own, partner, limit)
+        return {"a": np.minimum(own, partner), "b": np.maximum(own, partner)}
+
+    def run(parts):
+        held_own, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for part in parts:
-            lists = part.column("members").combine_chunks()
-            lists = lists if not hasattr(lists, "chunks") else lists.chunk(0)
-            offsets = lists.offsets.to_numpy()
-            flat = lists.values
-            member, size, short, label = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("class", "n", "short", "label"))
-            names = ("class", "n", "short", "label", "top")
-            for k, (x, n, x_short, x_label, top) in enumerate(zip(*(part.column(c).to_pylist() for c in names), strict=True)):
-                if x != own:
-                    if got := finish():
-                        yield got
-                    own, found = x, []
-                rows = slice(offsets[k], offsets[k + 1])
-                y, m, y_short, y_label = member[rows], size[rows], short[rows], label[rows]
-                low, high = np.minimum(m, n), np.maximum(m, n)
-                x_smaller = (n < m) | ((n == m) & (x < y))
-                ok = (y_label != x_label) & (rule.num * high <= rule.den * low) & np.where(x_smaller, x_short, y_short)
-                # Of two sets that both scan the list, the one with the larger class has the pair.
-                ok &= (y_label == top) | (y < x)
-                found.append(y[ok])
-                if sum(map(len, found)) > SCAN_BLOCK * 64:
-                    found = [np.unique(np.concatenate(found))]
-        if got := finish():
-            yield got
+            partners = part.column("partners").combine_chunks()
+            partners = pa.concat_arrays(partners.chunks) if isinstance(partners, pa.ChunkedArray) else partners
+            own = np.repeat(part.column("class").to_numpy(), np.diff(partners.offsets.to_numpy()))
+            own, partner = np.r_[held_own, own], np.r_[held, partners.flatten().to_numpy()]
+            # The last set may go on in the next block.
+            done = own != own[-1] if len(own) else np.zeros(0, dtype=bool)
+            yield pairs(own[done], partner[done])
+            held_own, held = first_partners(own[~done], partner[~done], limit)
+        yield pairs(held_own, held)
 
     return run
 
@@ -350,47 +372,39 @@ class ClassJoin:
 
     def lists(self, signed: DataFrame) -> DataFrame:
         """Entries of the inverted lists that have members of different classes."""
-        n = F.col("n")
-        overlap = F.ceil(self.rule.num * 2 * n / (self.rule.num + self.rule.den))
-        rows = signed.select("class", "n", (n - overlap + 1).alias("upto"), F.posexplode("firsts").alias("at", "token"))
+        rows = signed.select("class", "n", F.posexplode("firsts").alias("at", "token"))
         shared = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("token")
         shared = self.stored(shared, "shared-shingles")
-        return self.stored(
-            self.only(rows, shared, "token").select("token", "class", "n", (F.col("at") < F.col("upto")).alias("short")).distinct(), "lists"
-        )
+        return self.stored(self.only(rows, shared, "token").select("token", "class", "n", "at").distinct(), "lists")
 
     def labelled(self, lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Entries with labels, of lists that still have several labels."""
         label = F.col("class") if labels is None else F.coalesce("label", "class")
-        rows = (lists if labels is None else lists.join(labels, "class", "left")).select("token", "class", "n", "short", label.alias("label"))
+        rows = (lists if labels is None else lists.join(labels, "class", "left")).select("token", "class", "n", "at", label.alias("label"))
         rows = self.stored(rows, "labelled") if labels is not None else rows
         open_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
         return rows.join(open_, "token", "left_semi")
 
-    def probes(self, rows: DataFrame, turn: int) -> DataFrame:
-        """Each set with the heads of one of its lists; heads and lists change with the turn."""
-        heads = rows.groupBy("token").agg(
-            *[F.min(F.struct(F.xxhash64("class", F.lit(turn), F.lit(k)).alias("h"), "class", "n", "label")).alias(f"h{k}") for k in range(HEADS)]
-        )
-        picked = rows.groupBy("class").agg(F.min(F.struct(F.xxhash64("token", F.lit(turn)).alias("h"), "token", "n", "label")).alias("p"))
-        met = picked.select("class", "p.token", "p.n", "p.label").join(heads, "token")
-        met = met.select("class", "n", "label", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(HEADS)]))).alias("h"))
-        low, high = F.least("n", "h.n"), F.greatest("n", "h.n")
-        met = met.where((F.col("label") != F.col("h.label")) & (self.rule.num * high <= self.rule.den * low))
-        return met.select(F.least("class", "h.class").alias("a"), F.greatest("class", "h.class").alias("b"))
-
-    def scans(self, rows: DataFrame) -> DataFrame:
-        """All pairs of different labels that share a list, found by scanning the lists."""
+    def open_pairs(self, rows: DataFrame) -> tuple[int, float]:
+        """Entries of the lists, and how many pairs of different labels they make."""
+        by_label = rows.groupBy("token", "label").agg(F.count("*").cast("double").alias("c"))
+        by_list = by_label.groupBy("token").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
+        got = by_list.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
+        return int(got[0] or 0), got[1] or 0.0
+
+    def scans(self, rows: DataFrame, limit: int | None) -> DataFrame:
+        """Pairs of different labels that share a list; of each set ``limit`` or all of them."""
         counts = rows.groupBy("token", "label").agg(F.count("*").alias("c"))
         tops = counts.groupBy("token").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("length"))
         tops = tops.select("token", F.col("top.label").alias("top"), F.ceil(F.col("length") / SCAN_BLOCK).alias("blocks"))
         marked = self.stored(rows.join(tops, "token"), "marked")
         block = F.pmod(F.xxhash64("class"), F.col("blocks"))
-        members = marked.groupBy("token", block.alias("block")).agg(F.collect_list(F.struct("class", "n", "short", "label")).alias("members"))
-        scanning = marked.where("label != top").select("token", "class", "n", "short", "label", "top")
-        met = scanning.join(members, "token").select("class", "n", "short", "label", "top", "members")
-        by_class = met.repartition("class").sortWithinPartitions("class")
-        return self.stored(task_rows(by_class, LINKS, _scan(self.rule), 4 << 20), "scanned")
+        members = marked.groupBy("token", block.alias("block")).agg(F.collect_list(F.struct("class", "n", "at", "label")).alias("members"))
+        scanning = marked.where("label != top").select("token", "class", "n", "at", "label", "top")
+        met = scanning.join(members, "token").select("class", "n", "at", "label", "top", "members")
+        partners = task_rows(met, "class bigint, partners array<bigint>", _scan_lists(self.rule, limit), 8 << 20)
+        by_class = partners.repartition("class").sortWithinPartitions("class")
+        return self.stored(task_rows(by_class, LINKS, _merge_partners(limit), 4 << 20), "scanned")
 
     def spread(self, links: DataFrame, labels: DataFrame | None, whole: bool) -> DataFrame:
         """Labels of the linked classes: the least label reached, in two steps or until nothing changes."""
@@ -462,20 +476,17 @@ def components(
     sets = join.stored(found, "sets").dropDuplicates(["class"])
 
     links = join.checked(small, sets)
-    # Probing pays off while it finds links between labels; the scan is exact whatever it leaves.
     labels = None if links.isEmpty() else join.spread(links, None, whole=False)
-    for turn in range(MAX_ROUNDS):
+    for limit in (*ROUNDS, None):
         rows = join.labelled(lists, labels)
-        pairs = join.stored(join.probes(rows, turn).distinct(), "probes")
-        probed = join.checked(pairs, sets)
-        found, asked = probed.count(), pairs.count()
-        if found:
-            links = join.stored(links.union(probed).distinct(), "all-links")
-            labels = join.spread(probed if labels is None else links, labels, whole=False)
-        if found < PROBE_YIELD * asked or not asked:
-            break  # the open lists hold few links; probing further would only repeat what the scan does
-    last = join.checked(join.scans(join.labelled(lists, labels)), sets)
-    links = join.stored(links.union(last).distinct(), "all-links")
+        entries, open_pairs = join.open_pairs(rows)
+        if open_pairs <= MEAN_PARTNERS * entries:
+            limit = None
+        found = join.checked(join.scans(rows, limit), sets)
+        links = join.stored(links.union(found).distinct(), "all-links")
+        if limit is None:
+            break
+        labels = join.spread(links, labels, whole=False)
 
     result = signed.select("doc_id", "n", "class")
     if links.isEmpty():
