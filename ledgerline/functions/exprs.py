@@ -44,13 +44,25 @@ def taker_side(is_buyer_maker) -> Column:
     return F.when(_col(is_buyer_maker), "sell").otherwise("buy")
 
 
-def notional(price, quantity, operand="decimal(18,8)") -> Column:
-    """price * quantity without losing digits.
+def notional(price, quantity) -> Column:
+    """price * quantity, exact to 18 places.
 
-    Two decimal(38,s) operands would make Spark round the product to six places. Narrowing the
-    operands first keeps the product exact; text that does not fit the operand type gives NULL.
+    The product of two decimal(38,s) operands would be rounded to six places. So each operand is
+    split into whole and fraction, whose four products fit; a product or sum that does not fit the
+    storage type gives NULL, as does unreadable text.
     """
-    return (_col(price).try_cast(operand) * _col(quantity).try_cast(operand)).try_cast(MONEY)
+    step = "decimal(37,18)"
+
+    def parts(text):
+        x = _col(text).try_cast(MONEY)
+        fraction = (x % 1).cast("decimal(18,18)")
+        return (x - fraction).try_cast("decimal(18,0)"), fraction
+
+    (a, b), (c, d) = parts(price), parts(quantity)
+    total = (a * c).try_cast(step)
+    for product in (a * d, b * c, b * d):
+        total = (total + product.try_cast(step)).try_cast(step)
+    return total.cast(MONEY)
 
 
 def truncate_like(unit: str, ts: str, schema: StructType) -> Column:

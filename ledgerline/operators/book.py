@@ -102,22 +102,32 @@ def snapshot_levels(messages: DataFrame) -> DataFrame:
 
 
 def check_sequence(events: DataFrame, snapshots: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Continuity of depth events (symbol_id, first_u, last_u) after a snapshot per symbol.
+    """Continuity of depth events (symbol_id, first_u, last_u) after each snapshot of their symbol.
 
-    Events the snapshot covers are dropped. The first one left must straddle the snapshot's
-    next id and each later one must start where its predecessor ended. ``is_gap`` marks the
-    events that break this, ``resync_epoch`` counts the breaks so far.
+    An event belongs to the last snapshot below it; events that no snapshot precedes are dropped.
+    The first event of a snapshot must straddle the snapshot's next id and each later one must
+    start where its predecessor ended. ``is_gap`` marks the events that break this,
+    ``resync_epoch`` counts the breaks of the symbol so far.
     """
-    # One snapshot row per symbol: small enough for a broadcast join at run time, and a skewed
-    # sort-merge join is split by adaptive execution when it is not.
-    base = snapshots.select("symbol_id", F.col("last_update_id").alias("__snap"))
-    fresh = events.join(base, "symbol_id").where(F.col("last_u") > F.col("__snap"))
-    seen = with_previous(fresh, ["symbol_id"], "last_u", {"last_u": "__prev"}, width)
+    # Events and snapshots on one axis: an event that ends at a snapshot's id still comes before it.
+    axis = F.col("last_u") * 2
+    points = events.withColumns({"__axis": axis, "__snap": F.lit(None).cast("bigint")}).unionByName(
+        snapshots.select("symbol_id", F.col("last_update_id").alias("__snap"))
+        .distinct()
+        .withColumn("__axis", F.col("__snap") * 2 + 1),
+        allowMissingColumns=True,
+    )
+    numbered = with_running_sum(
+        points, ["symbol_id"], "__axis", F.col("__snap").isNotNull().cast("bigint"), "__no", 2 * width
+    )
+    base = numbered.where(F.col("__snap").isNotNull()).select("symbol_id", "__no", "__snap")
+    fresh = numbered.where(F.col("__snap").isNull()).drop("__snap", "__axis").join(base, ["symbol_id", "__no"])
+    seen = with_previous(fresh, ["symbol_id", "__no"], "last_u", {"last_u": "__prev"}, width)
     start, end, snap = F.col("first_u"), F.col("last_u"), F.col("__snap") + 1
     ok = F.when(F.col("__prev").isNull(), (start <= snap) & (snap <= end)).otherwise(
         start == F.col("__prev") + 1
     )
-    marked = seen.withColumn("is_gap", ~ok).drop("__snap", "__prev")
+    marked = seen.withColumn("is_gap", ~ok).drop("__snap", "__prev", "__no")
     return with_running_sum(
         marked, ["symbol_id"], "last_u", F.col("is_gap").cast("bigint"), "resync_epoch", width
     )

@@ -30,7 +30,7 @@ def decode(log: DataFrame, topic_prefix: str = TOPIC_PREFIX) -> DataFrame:
         F.get_json_object("after", "$.symbol_id"), F.get_json_object("before", "$.symbol_id")
     )
     topic = F.col("kafka_topic")
-    stripped = F.substring(topic, len(topic_prefix) + 1, 1_000)
+    stripped = topic.substr(F.lit(len(topic_prefix) + 1), F.length(topic))
     return parsed.select(
         "kafka_topic",
         "kafka_partition",

@@ -14,7 +14,7 @@ _INFO = (
 )
 
 
-def parse_trades(messages: DataFrame, operand: str = "decimal(18,8)") -> DataFrame:
+def parse_trades(messages: DataFrame) -> DataFrame:
     """Trade messages to rows with the quote amount, which the feed does not carry."""
     # Trade id ``t`` and event time ``T`` differ in case only, which a struct cannot tell apart.
     millis = F.get_json_object("message", "$.data.T").try_cast("bigint")
@@ -24,7 +24,7 @@ def parse_trades(messages: DataFrame, operand: str = "decimal(18,8)") -> DataFra
         F.col("d.t").alias("trade_id"),
         to_money("d.p").alias("price"),
         to_money("d.q").alias("quantity"),
-        notional("d.p", "d.q", operand).alias("quote_qty"),
+        notional("d.p", "d.q").alias("quote_qty"),
         F.col("d.m").alias("is_buyer_maker"),
         F.timestamp_millis("millis").alias("trade_time"),
     )

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ledgerline.functions.schemas import LOG
 
 TOPIC_PREFIX = "cdc.public."
-ADMISSION_LIMIT = 20_000
 
 
 def kafka_log(
@@ -18,22 +17,23 @@ def kafka_log(
     bootstrap_servers: str,
     topic_prefix: str = TOPIC_PREFIX,
     starting_offsets: str = "earliest",
-    max_per_trigger: int = ADMISSION_LIMIT,
+    max_per_trigger: int | None = None,
 ) -> DataFrame:
     """Every topic under the prefix as one stream. Needs the Kafka connector on the classpath.
 
     ``earliest`` replays the whole log on the first start, ``latest`` takes live changes only;
-    later starts resume from the checkpoint either way.
+    later starts resume from the checkpoint either way. ``max_per_trigger`` bounds a micro-batch; by
+    default it takes all that has arrived.
     """
-    raw = (
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
         .option("subscribePattern", re.escape(topic_prefix) + ".*")
         .option("startingOffsets", starting_offsets)
-        .option("maxOffsetsPerTrigger", max_per_trigger)
-        .load()
     )
-    return raw.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+    if max_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
+    return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
 def file_log(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.functions.schemas import CURRENT, KEYS
 from ledgerline.operators.cdc import book_changes, decode, dimension_changes, trade_rows
 from ledgerline.sources.log import TOPIC_PREFIX
-from ledgerline.streaming.tables import AppendedTable, MergedTable
+from ledgerline.streaming.tables import AppendedTable, MergedTable, batch_number
 
 TRIGGER = {"processingTime": "15 seconds"}
 
@@ -21,7 +21,7 @@ class CurrentState:
     """The four current-state tables under one folder."""
 
     def __init__(self, path: str, version_guard: bool = False, compact_every: int = 20):
-        self.compact_every = compact_every
+        self.path, self.compact_every = path, compact_every
         self.book = MergedTable(
             f"{path}/orderbook_levels",
             KEYS["orderbook_levels"],
@@ -40,23 +40,24 @@ class CurrentState:
         and writes the same folders again.
         """
         spark = decoded.sparkSession
+        number = batch_number(spark, self.path, batch_id)
         batch = decoded.persist()
         try:
             known = batch.where(F.col("src_table").isin(list(KEYS)))
             present = {r.src_table for r in known.select("src_table").distinct().collect()}
             if "orderbook_levels" in present:
                 rows = book_changes(batch.where(F.col("src_table") == "orderbook_levels"))
-                self.book.apply(rows, batch_id, VERSION)
+                self.book.apply(rows, number, VERSION)
             if "trades" in present:
                 rows = trade_rows(batch.where(F.col("src_table") == "trades"))
-                self.trades.append(rows, batch_id, ["kafka_offset"])
+                self.trades.append(rows, number, ["kafka_offset"])
             for name, table in self.dims.items():
                 if name in present:
                     rows = dimension_changes(batch.where(F.col("src_table") == name), name)
-                    table.apply(rows, batch_id, LOG_ORDER)
+                    table.apply(rows, number, LOG_ORDER)
             if batch_id > 0 and batch_id % self.compact_every == 0:
                 for table in (self.book, *self.dims.values()):
-                    table.compact(spark, batch_id)
+                    table.compact(spark, number)
                     table.vacuum(spark)
         finally:
             batch.unpersist()

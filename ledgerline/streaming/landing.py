@@ -11,7 +11,7 @@ from ledgerline.functions.schemas import FACTS, LANDING, PAYLOADS, columns
 from ledgerline.operators.cdc import decode, landing_rows
 from ledgerline.sources.log import TOPIC_PREFIX
 from ledgerline.sources.tables import write_clustered
-from ledgerline.streaming.tables import BATCH, read_batches
+from ledgerline.streaming.tables import BATCH, batch_number, read_batches
 
 TRIGGER = {"processingTime": "10 seconds"}
 
@@ -30,7 +30,8 @@ def write_landing(decoded: DataFrame, path: str, batch_id: int) -> None:
         .where(F.col("src_table").isin(list(PAYLOADS)))
         .withColumn("symbol_part", split)
     )
-    write_clustered(rows, f"{path}/{BATCH}={batch_id}", _LAYOUT)
+    number = batch_number(decoded.sparkSession, path, batch_id)
+    write_clustered(rows, f"{path}/{BATCH}={number}", _LAYOUT)
 
 
 def read_landing(spark: SparkSession, path: str, table: str) -> DataFrame:

@@ -8,22 +8,28 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.session import build_session
-from ledgerline.sources.log import ADMISSION_LIMIT, TOPIC_PREFIX, kafka_log
+from ledgerline.sources.log import TOPIC_PREFIX, kafka_log
 from ledgerline.streaming.current import CurrentState, start_current
 from ledgerline.streaming.landing import start_landing
 
 
 def run_forever(spark: SparkSession, log: DataFrame, root: str, topic_prefix: str = TOPIC_PREFIX) -> None:
-    """Land and fold the log until either query dies, and surface its error.
+    """Land and fold the log until either query dies; stop the other one and surface the error.
 
     The two read the log independently and keep separate checkpoints, so each resumes where it
     stopped.
     """
     spark.streams.resetTerminated()
     state = CurrentState(f"{root}/current")
-    start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing", None, topic_prefix)
-    start_current(log, state, f"{root}/checkpoints/current", None, topic_prefix)
-    spark.streams.awaitAnyTermination()
+    queries = [
+        start_landing(log, f"{root}/landing", f"{root}/checkpoints/landing", None, topic_prefix),
+        start_current(log, state, f"{root}/checkpoints/current", None, topic_prefix),
+    ]
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for q in queries:
+            q.stop()
 
 
 def run_available(log: DataFrame, root: str, state: CurrentState, name: str = "available") -> None:
@@ -49,7 +55,7 @@ def main() -> None:
     args.add_argument("--root", required=True, help="folder for tables and checkpoints, reachable by all executors")
     args.add_argument("--topic-prefix", default=TOPIC_PREFIX)
     args.add_argument("--starting-offsets", default=os.getenv("STARTING_OFFSETS", "earliest"))
-    args.add_argument("--max-per-trigger", type=int, default=ADMISSION_LIMIT)
+    args.add_argument("--max-per-trigger", type=int, default=None)
     a = args.parse_args()
     spark = build_session("ledgerline-streams")
     log = kafka_log(spark, a.bootstrap_servers, a.topic_prefix, a.starting_offsets, a.max_per_trigger)

@@ -1,8 +1,9 @@
 """Tables that a stream maintains on plain files, one folder per micro-batch.
 
-Every write overwrites the folder named after its batch id, so a replayed batch leaves the table
-as it was. A batch counts once its folder has Spark's success marker. Batches of one stream run
-in order, so everything up to the last finished one is complete.
+Every write overwrites the folder named after its number, so a replayed batch leaves the table as it
+was. The number is the batch id within an epoch; a query with a new checkpoint counts its batches
+from 0 again and gets a new epoch, so its batches come after all earlier ones and overwrite none. A
+batch counts once its folder has Spark's success marker.
 """
 
 from __future__ import annotations
@@ -17,11 +18,26 @@ from ledgerline.sources.tables import finished_versions, remove_versions, write_
 
 BATCH = "batch_id"
 
-# Up to this many batches are named one by one, beyond it the whole table is listed and pruned.
-LIST_FOLDERS = 50
+EPOCH_BITS = 40
 
-# Up to this many partition values go into a pruning filter one by one, beyond it their range.
-PRUNE_LIST = 1_000
+
+def batch_number(spark: SparkSession, path: str, batch_id: int) -> int:
+    """The number of a micro-batch among all that were ever written to the tables at ``path``.
+
+    The id of the running query, which lives as long as its checkpoint, stands for the epoch. Batches
+    written outside a query belong to the first one.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if query is None:
+        return batch_id
+    epochs = finished_versions(spark, f"{path}/epochs", "epoch")
+    for epoch in epochs:
+        if spark.read.schema("query string").parquet(f"{path}/epochs/epoch={epoch}").first()["query"] == query:
+            return epoch << EPOCH_BITS | batch_id
+    epoch = epochs[-1] + 1 if epochs else 0
+    row = spark.createDataFrame([(query,)], "query string")
+    row.write.mode("overwrite").parquet(f"{path}/epochs/epoch={epoch}")
+    return epoch << EPOCH_BITS | batch_id
 
 
 def read_batches(
@@ -33,10 +49,7 @@ def read_batches(
     if not done:
         return spark.createDataFrame([], schema)
     reader = spark.read.schema(schema).option("basePath", path)
-    if len(done) <= LIST_FOLDERS:
-        return reader.parquet(*[f"{path}/{BATCH}={n}" for n in done])
-    n = F.col(BATCH)
-    return reader.parquet(path).where((n > above) & (n <= done[-1]))
+    return reader.parquet(*[f"{path}/{BATCH}={n}" for n in done])
 
 
 class MergedTable:
@@ -109,7 +122,7 @@ class AppendedTable:
         self.schema = StructType.fromDDL(f"{layout}, id_bucket bigint, {BATCH} bigint")
 
     def append(self, rows: DataFrame, batch_id: int, order: list[str]) -> None:
-        """Store the rows whose key is new. The batch is cached, its size being the admission limit."""
+        """Store the rows whose key is new. The batch is cached while it is compared."""
         spark = rows.sparkSession
         unique = latest_per_key(rows, self.keys, order).select(
             *self.names, F.floor(F.col(self.id_column) / self.bucket).alias("id_bucket")
@@ -126,12 +139,7 @@ class AppendedTable:
 
     def _touched(self, rows: DataFrame) -> Column:
         """Partition filter covering every bucket of the batch."""
-        buckets = rows.select("id_bucket").distinct()
-        some = [r.id_bucket for r in buckets.limit(PRUNE_LIST + 1).collect()]
-        if len(some) <= PRUNE_LIST:
-            return F.col("id_bucket").isin(some)
-        ends = buckets.agg(F.min("id_bucket").alias("lo"), F.max("id_bucket").alias("hi")).first()
-        return F.col("id_bucket").between(ends.lo, ends.hi)
+        return F.col("id_bucket").isin([r.id_bucket for r in rows.select("id_bucket").distinct().collect()])
 
     def current(self, spark: SparkSession) -> DataFrame:
         return read_batches(spark, self.path, self.schema).select(*self.names)

@@ -154,6 +154,22 @@ def test_notional_is_exact(spark):
     assert got == [Decimal("64000.12345678") * Decimal("0.00012345"), None, None]
 
 
+@pytest.mark.parametrize(
+    "price, quantity, want",
+    [
+        ("0.123456789123", "1", "0.123456789123"),
+        ("12345678901.5", "1", "12345678901.5"),
+        ("0.000000001234", "1000000", "0.001234"),
+        ("-1.5", "0.000000000000000002", "-0.000000000000000003"),
+        ("1000000000000000000", "1000000000000000000", None),
+    ],
+)
+def test_notional_keeps_digits_and_large_amounts(spark, price, quantity, want):
+    df = spark.createDataFrame([(price, quantity)], "p string, q string")
+    got = df.select(exprs.notional("p", "q")).first()[0]
+    assert got == (None if want is None else Decimal(want))
+
+
 def test_taker_side_of_unknown_is_buy(spark):
     df = spark.createDataFrame([(True,), (False,), (None,)], "m boolean")
     assert [r[0] for r in df.select(exprs.taker_side("m")).collect()] == ["sell", "buy", "buy"]

@@ -5,6 +5,7 @@ import pytest
 from conftest import SF, rows
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.functions.schemas import CURRENT, KEYS, LOG
 from ledgerline.operators import book, cdc
@@ -16,7 +17,7 @@ from ledgerline.sources.tables import finished_versions
 from ledgerline.streaming.current import VERSION, CurrentState, start_current
 from ledgerline.streaming.landing import read_landing, start_landing, write_landing
 from ledgerline.streaming.run import run_available, run_forever
-from ledgerline.streaming.tables import AppendedTable, MergedTable
+from ledgerline.streaming.tables import AppendedTable, MergedTable, read_batches
 
 ONCE = {"availableNow": True}
 
@@ -125,9 +126,7 @@ def test_trades_are_stored_once(spark, run_dir):
         assert sorted(got) == [(1, 1, 1), (1, 2, 1), (1, 5, 1), (1, 7, 1), (2, 2, 1)]
 
 
-def test_trades_with_many_buckets(spark, run_dir, monkeypatch):
-    """Beyond the list limit the touched buckets are pruned by range, with the same result."""
-    monkeypatch.setattr("ledgerline.streaming.tables.PRUNE_LIST", 1)
+def test_trades_with_many_buckets(spark, run_dir):
     table = AppendedTable(run_dir, KEYS["trades"], CURRENT["trades"], "trade_id", bucket=2)
     table.append(trade_batch(spark, trade(1), trade(6), trade(20)), 0, ["kafka_offset"])
     table.append(trade_batch(spark, trade(6), trade(9), trade(20)), 1, ["kafka_offset"])
@@ -187,12 +186,30 @@ def test_vacuum_keeps_state_and_replay(spark, run_dir, book_log, expected):
     assert rows(state.read(spark, "orderbook_levels")) == expected
 
 
-def test_listing_many_batches_reads_the_same(spark, run_dir, book_log, monkeypatch):
-    for n, part in enumerate(slices(book_log, 2)):
-        write_landing(cdc.decode(part), run_dir, n)
-    named = rows(read_landing(spark, run_dir, "orderbook_levels"))
-    monkeypatch.setattr("ledgerline.streaming.tables.LIST_FOLDERS", 0)
-    assert rows(read_landing(spark, run_dir, "orderbook_levels")) == named
+@pytest.mark.parametrize("batches", [3, 60])
+def test_unfinished_batches_are_never_read(spark, run_dir, batches):
+    for n in range(batches):
+        trade_batch(spark, trade(n)).write.parquet(f"{run_dir}/batch_id={n}")
+    os.remove(f"{run_dir}/batch_id=1/_SUCCESS")
+    got = read_batches(spark, run_dir, StructType.fromDDL("trade_id bigint, batch_id bigint"))
+    assert sorted(r.batch_id for r in got.collect()) == [n for n in range(batches) if n != 1]
+
+
+def test_new_checkpoint_replays_into_the_same_tables(spark, run_dir, book_log):
+    """Run, compact, run again from the start with a new checkpoint: as if run once."""
+    log = book_log.unionByName(inputs.trade_log(spark, SF).limit(200).select(book_log.columns))
+    state = CurrentState(f"{run_dir}/current", compact_every=1)
+    for n, part in enumerate(slices(log, 3)):
+        deliver(part, f"{run_dir}/log")
+    for turn in range(2):
+        run_available(file_log(spark, f"{run_dir}/log", 1), f"{run_dir}/{turn}", state, name=f"turn {turn}")
+        got = {t: rows(state.read(spark, t)) for t in ("orderbook_levels", "trades")}
+        if turn == 0:
+            once = got
+    assert got == once
+    assert len({r.trade_id for r in state.read(spark, "trades").collect()}) == state.read(spark, "trades").count()
+    epochs = {n >> 40 for n in finished_versions(spark, f"{run_dir}/current/trades", "batch_id")}
+    assert epochs == {0, 1}
 
 
 def test_build_after_the_streams(spark, run_dir):
@@ -235,5 +252,4 @@ def test_pipeline_stops_with_the_error_of_a_dead_stream(spark, run_dir, book_log
         f.write("a file where the tables should go")
     with pytest.raises(StreamingQueryException):
         run_forever(spark, file_log(spark, f"{run_dir}/log"), run_dir)
-    for q in spark.streams.active:
-        q.stop()
+    assert not spark.streams.active
