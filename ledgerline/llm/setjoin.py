@@ -184,7 +184,7 @@ def subset_keys(shingles: np.ndarray, overlap: int) -> list[int]:
 
 
 def _signatures(shared, size: int, rule: Threshold, largest_small: int):
-    """Per document: class, size, first shingles in the global order, subsets if it is small."""
+    """Per document: class, size, bitmap, first shingles in the global order, subsets if it is small."""
 
     def run(parts):
         heavy, rank = shared.value
@@ -213,6 +213,7 @@ def _signatures(shared, size: int, rule: Threshold, largest_small: int):
                 "doc_id": part.column("doc_id").to_pylist(),
                 "class": [set_id(s) for s in sets],
                 "n": [len(s) for s in sets],
+                "bitmap": [parity_bitmap(s) if len(s) else None for s in sets],
                 "firsts": firsts,
                 "subsets": subsets,
             }
@@ -221,18 +222,13 @@ def _signatures(shared, size: int, rule: Threshold, largest_small: int):
 
 
 def _class_sets(size: int):
-    """Shingles and bitmap of each class, from the document that stands for it."""
+    """Shingles of each class, from the document that stands for it."""
 
     def run(parts):
         for part in parts:
             sets = sets_of(part.column("text").to_pylist(), size)
             kept = [(k, s) for k, s in zip(part.column("class").to_pylist(), sets, strict=True) if set_id(s) == k]
-            yield {
-                "class": [k for k, _ in kept],
-                "n": [len(s) for _, s in kept],
-                "bitmap": [parity_bitmap(s) for _, s in kept],
-                "shingles": [s.tobytes() for _, s in kept],
-            }
+            yield {"class": [k for k, _ in kept], "shingles": [s.tobytes() for _, s in kept]}
 
     return run
 
@@ -334,8 +330,8 @@ def _merge_partners(limit: int | None):
 class ClassJoin:
     """The join of the classes; tables between steps are written below ``folder``."""
 
-    def __init__(self, spark, folder: str, rule: Threshold):
-        self.spark, self.folder, self.rule, self.made = spark, folder, rule, 0
+    def __init__(self, docs: DataFrame, folder: str, shingle: int, rule: Threshold):
+        self.spark, self.docs, self.folder, self.shingle, self.rule, self.made = docs.sparkSession, docs, folder, shingle, rule, 0
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         self.made += 1
@@ -343,22 +339,38 @@ class ClassJoin:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def only(self, df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-        """Rows of ``df`` with an id among ``ids``; few ids are broadcast, after they were counted."""
-        small = ids.count() <= BROADCAST_IDS
-        return df.join(F.broadcast(ids) if small else ids, column, "left_semi")
-
-    def checked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def few(self, ids: DataFrame) -> DataFrame:
+        """Broadcast if counted to be few, else joined by shuffling."""
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    def stand_for(self, signed: DataFrame, lists: DataFrame, small: DataFrame) -> None:
+        """Note size, bitmap and one document of each class that may be in a pair."""
+        wanted = lists.select("class").union(small.select("a")).union(small.select("b")).distinct()
+        wanted = self.stored(wanted, "wanted")
+        rows = signed.select("class", "doc_id", "n", "bitmap").join(self.few(wanted), "class", "left_semi")
+        self.marks = self.stored(rows.groupBy("class").agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), F.max("bitmap").alias("bitmap")), "marks")
+
+    def shingles(self, pairs: DataFrame) -> DataFrame:
+        """The sets of the classes in ``pairs``, made from their documents' texts."""
+        classes = self.stored(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "in-pairs")
+        stands = self.stored(self.marks.select("class", "id").join(self.few(classes), "class", "left_semi"), "stands")
+        texts = self.docs.join(self.few(stands), F.col("doc_id").eqNullSafe(F.col("id"))).select("class", "text")
+        sets = self.stored(task_rows(texts, "class bigint, shingles binary", _class_sets(self.shingle)), "sets")
+        # Only documents that repeat an id give a class twice.
+        return sets if sets.count() == stands.count() else sets.dropDuplicates(["class"])
+
+    def checked(self, pairs: DataFrame) -> DataFrame:
         """The pairs that link."""
 
-        def beside(pairs, column):
+        def beside(pairs, sets, *columns):
             for end in ("a", "b"):
-                side = sets.select(F.col("class").alias(end), F.col("n").alias(f"n_{end}"), F.col(column).alias(f"{column}_{end}"))
-                pairs = pairs.join(side, end)
+                pairs = pairs.join(sets.select(F.col("class").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns]), end)
             return pairs
 
-        passed = self.stored(task_rows(beside(pairs.distinct(), "bitmap"), LINKS, _bitmap_check(self.rule)), "passed")
-        return self.stored(task_rows(beside(passed, "shingles"), LINKS, _exact_check(self.rule)), "links")
+        passed = self.stored(task_rows(beside(pairs.distinct(), self.marks, "n", "bitmap"), LINKS, _bitmap_check(self.rule)), "passed")
+        if passed.isEmpty():
+            return passed
+        return self.stored(task_rows(beside(passed, self.shingles(passed), "shingles"), LINKS, _exact_check(self.rule)), "links")
 
     def small_pairs(self, signed: DataFrame) -> DataFrame:
         """Each set with the smallest set that has the same subset, if they link."""
@@ -375,7 +387,7 @@ class ClassJoin:
         rows = signed.select("class", "n", F.posexplode("firsts").alias("at", "token"))
         shared = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("token")
         shared = self.stored(shared, "shared-shingles")
-        return self.stored(self.only(rows, shared, "token").select("token", "class", "n", "at").distinct(), "lists")
+        return self.stored(rows.join(self.few(shared), "token", "left_semi").select("token", "class", "n", "at").distinct(), "lists")
 
     def labelled(self, lists: DataFrame, labels: DataFrame | None) -> DataFrame:
         """Entries with labels, of lists that still have several labels."""
@@ -450,7 +462,7 @@ def components(
     spark, rule = docs.sparkSession, rule or Threshold()
     slim = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).cast("string").alias("text"))
     id_type = slim.schema["doc_id"].dataType.simpleString()
-    join = ClassJoin(spark, folder, rule)
+    join = ClassJoin(slim, folder, shingle, rule)
 
     counted = join.stored(
         task_rows(slim.select("text"), "token bigint, n bigint, size int", _frequent(shingle)).groupBy("token", "size").agg(F.sum("n").alias("n")),
@@ -462,27 +474,21 @@ def components(
     ranks = np.log2(np.maximum(heavy.column("n").to_numpy(), 1)).astype(np.int64)
     sizes = {r["size"]: r["n"] for r in counted.where("size >= 0").select("size", "n").collect()}
     shared = spark.sparkContext.broadcast((tokens[order], ranks[order]))
-    schema = f"doc_id {id_type}, class bigint, n bigint, firsts array<bigint>, subsets array<struct<o:int,key:bigint>>"
+    schema = f"doc_id {id_type}, class bigint, n bigint, bitmap binary, firsts array<bigint>, subsets array<struct<o:int,key:bigint>>"
     signed = join.stored(task_rows(slim, schema, _signatures(shared, shingle, rule, small_boundary(sizes, rule))), "signatures")
 
     lists = join.lists(signed)
     small = join.stored(join.small_pairs(signed).distinct(), "small-pairs")
-    wanted = lists.select("class").union(small.select("a")).union(small.select("b")).distinct()
-    stands = join.only(signed.select("class", "doc_id"), join.stored(wanted, "wanted"), "class")
-    stands = join.stored(stands.groupBy("class").agg(F.min("doc_id").alias("doc_id")), "stands")
-    ids = stands.withColumnRenamed("doc_id", "id")
-    texts = slim.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, F.col("doc_id").eqNullSafe(F.col("id")))
-    found = task_rows(texts.select("class", "text"), "class bigint, n bigint, bitmap binary, shingles binary", _class_sets(shingle))
-    sets = join.stored(found, "sets").dropDuplicates(["class"])
-
-    links = join.checked(small, sets)
+    join.stand_for(signed, lists, small)
+
+    links = join.checked(small)
     labels = None if links.isEmpty() else join.spread(links, None, whole=False)
     for limit in (*ROUNDS, None):
         rows = join.labelled(lists, labels)
         entries, open_pairs = join.open_pairs(rows)
         if open_pairs <= MEAN_PARTNERS * entries:
             limit = None
-        found = join.checked(join.scans(rows, limit), sets)
+        found = join.checked(join.scans(rows, limit))
         links = join.stored(links.union(found).distinct(), "all-links")
         if limit is None:
             break
