@@ -40,7 +40,7 @@ HEAVY_MAX = 1_000_000  # entries of the broadcast order of frequent shingles; ot
 BROADCAST_IDS = 2_000_000  # ids that may be broadcast; more are joined by shuffling
 MAX_SMALL = 48
 LIST_COST = 8.0  # what a list entry costs in rows of an enumerated subset: counting, scanning, checking
-ROUNDS = (8, 64, 512)  # partners checked per set before the scan without limit
+ROUNDS = (32,)  # partners checked per set before the scan without limit
 MEAN_PARTNERS = 8  # open pairs per list entry up to which no such round is needed
 SCAN_BLOCK = 1024
 HELD = 8_000_000
