@@ -41,6 +41,9 @@ def blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.T
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+    held = []
+    # Workers live on between tasks; what this one has freed must not add up with the next one's.
+    pa.default_memory_pool().release_unused()
 
 
 def map_rows(

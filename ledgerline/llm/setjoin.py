@@ -44,7 +44,7 @@ ROUNDS = (32,)  # partners checked per set before the scan without limit
 MEAN_PARTNERS = 8  # open pairs per list entry up to which no such round is needed
 SCAN_BLOCK = 1024
 HELD = 8_000_000
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 100_000  # hashes a worker keeps from block to block, some 15 MB
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _known: dict[bytes, int] = {}
 

@@ -8,7 +8,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000  # kept from block to block, some 50 MB
 _PUNCTUATION = b".,;:!?"
 
 
