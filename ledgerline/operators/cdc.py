@@ -72,8 +72,12 @@ def _typed(table: str) -> list[Column]:
     return exprs.conform(F.col("image"), PAYLOADS[table], CURRENT[table])
 
 
-def _key_missing(table: str, column=F.col) -> Column:
-    return reduce(lambda a, b: a | b, [column(k).isNull() for k in KEYS[table]])
+# What a typed row must have; records without it are rejects.
+NEEDED = KEYS | {"orderbook_levels": ["symbol_id", "price_level"], "trades": ["trade_id"]}
+
+
+def _usable(table: str, parent: str = "") -> Column:
+    return reduce(lambda a, b: a & b, [F.col(parent + k).isNotNull() for k in NEEDED[table]])
 
 
 def book_changes(decoded: DataFrame) -> DataFrame:
@@ -89,14 +93,14 @@ def book_changes(decoded: DataFrame) -> DataFrame:
         ((F.col("op") == "d") | (qty == 0)).alias("deleted"),
         "kafka_offset",
     )
-    return rows.where(F.col("symbol_id").isNotNull() & F.col("price_level").isNotNull())
+    return rows.where(_usable("orderbook_levels"))
 
 
 def trade_rows(decoded: DataFrame) -> DataFrame:
     """Typed trades from inserts and snapshot reads; trades are never updated."""
     inserted = decoded.where(F.col("op").isin("c", "r"))
     rows = with_image(inserted, "trades", F.col("after")).select(*_typed("trades"), "kafka_offset")
-    return rows.where(F.col("trade_id").isNotNull())
+    return rows.where(_usable("trades"))
 
 
 def dimension_changes(decoded: DataFrame, table: str) -> DataFrame:
@@ -108,20 +112,25 @@ def dimension_changes(decoded: DataFrame, table: str) -> DataFrame:
         "source_lsn",
         "kafka_offset",
     )
-    return rows.where(~_key_missing(table))
+    return rows.where(_usable(table))
 
 
 def rejects(decoded: DataFrame, table: str) -> DataFrame:
-    """Records of a table that yield no row, with the reason; the typed readers skip them."""
-    known_ops = ["c", "r", "u", "d"]
+    """Records of a table that its typed reader skips, with the reason.
+
+    Updates and deletes of trades are no rejects; they are ignored by rule.
+    """
+    op = F.col("op")
+    kept, ignored = _usable(table, "typed."), F.lit(False)
+    if table == "trades":
+        kept, ignored = kept & op.isin("c", "r"), op.isin("u", "d")
     reason = (
-        F.when(F.col("op").isNull(), "no operation")
-        .when(~F.col("op").isin(known_ops), "unsupported operation")
-        .when(_key_missing(table, lambda k: F.col(f"image.{k}")), "no key")
-    )
-    return (
-        with_image(decoded.where(F.col("src_table") == table), table)
-        .withColumn("reason", reason)
-        .where(F.col("reason").isNotNull())
-        .select("src_table", "reason", "kafka_offset", "value")
+        F.when(op.isNull(), "no operation")
+        .when(~op.isin("c", "r", "u", "d"), "unsupported operation")
+        .when(~_usable(table, "image."), "no key")
+        .otherwise("unreadable key")
     )
+    own = decoded.where(F.col("src_table") == table)
+    typed = with_image(own, table).withColumn("typed", F.struct(*_typed(table)))
+    skipped = typed.where(~F.coalesce(kept | ignored, F.lit(False)))
+    return skipped.select("src_table", reason.alias("reason"), "kafka_offset", "value")

@@ -101,15 +101,21 @@ def cdc_replay_from_offset(spark, sf_dir):
     "bronze_append",
     f"""
 with {s.ENVELOPES}
-select src_table, kafka_offset, op, symbol_id, source_lsn,
-       {s.text_date("make_timestamp(ts_ms * 1000)")} as ingest_date
-from envelopes where op is not null and src_table <> 'exchanges'""",
+select src_table, kafka_offset, coalesce(op, '?') as op, coalesce(symbol_id, -1) as symbol_id,
+       coalesce(source_lsn, -1) as source_lsn,
+       coalesce({s.text_date("make_timestamp(ts_ms * 1000)")}, 'none') as ingest_date
+from envelopes""",
 )
 def bronze_append(spark, sf_dir):
     path = new_run_dir(spark, "landing")
     write_landing(cdc.decode(inputs.whole_log(spark, sf_dir)), path, batch_id=0)
-    rows = _landed(spark, path).where(F.col("op").isNotNull() & (F.col("src_table") != "exchanges"))
-    return rows.select("src_table", "kafka_offset", "op", "symbol_id", "source_lsn", "ingest_date")
+    return _landed(spark, path).select(
+        "src_table",
+        "kafka_offset",
+        F.coalesce("op", F.lit("?")).alias("op"),
+        *[F.coalesce(c, F.lit(-1)).alias(c) for c in ("symbol_id", "source_lsn")],
+        F.coalesce(F.col("ingest_date").cast("string"), F.lit("none")).alias("ingest_date"),
+    )
 
 
 @query(

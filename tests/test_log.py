@@ -118,6 +118,29 @@ def test_rows_without_key_are_rejected_and_counted(spark):
     ]
 
 
+def test_a_record_is_either_kept_or_rejected(spark):
+    values = [
+        envelope(after=changed(price_level="abc")),
+        envelope(after=changed(side=None)),
+        envelope(after=LEVEL),
+        "garbage",
+    ]
+    decoded = cdc.decode(log(spark, *values))
+    assert rows(cdc.book_changes(decoded), "kafka_offset") == [(1,), (2,)]
+    assert rows(cdc.rejects(decoded, "orderbook_levels"), "kafka_offset", "reason") == [
+        (0, "unreadable key"),
+        (3, "no operation"),
+    ]
+
+
+def test_trades_are_kept_rejected_or_ignored_by_rule(spark):
+    trade = {"trade_id": 1, "price": "abc"}
+    values = [envelope(after=trade), envelope("u", trade, trade), envelope(after={"symbol_id": 1}), envelope("t", trade)]
+    decoded = cdc.decode(log(spark, *values, table="trades"))
+    assert rows(cdc.trade_rows(decoded), "kafka_offset") == [(0,)]
+    assert rows(cdc.rejects(decoded, "trades"), "kafka_offset", "reason") == [(2, "no key"), (3, "unsupported operation")]
+
+
 def test_dimension_update_can_set_null(spark):
     old = {"exchange_id": 1, "name": "X", "region": "EU", "updated_at": "2024-01-01T00:00:00Z"}
     new = {**old, "region": None}
