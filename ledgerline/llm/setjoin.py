@@ -375,8 +375,8 @@ class ClassJoin:
     def small_pairs(self, signed: DataFrame) -> DataFrame:
         """Each set with the smallest set that has the same subset, if they link."""
         rows = signed.select("class", "n", F.explode("subsets").alias("s")).select("class", "n", "s.o", "s.key")
-        heads = rows.groupBy("o", "key").agg(F.min(F.struct("n", "class")).alias("head"), F.max("class").alias("other"))
-        heads = heads.where("other != head.class or head.n is null").drop("other")
+        heads = rows.groupBy("o", "key").agg(F.min(F.struct("n", "class")).alias("head"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+        heads = heads.where("lo != hi").drop("lo", "hi")
         rule = self.rule
         most = F.floor(F.col("o") * (rule.num + rule.den) / rule.num)
         met = rows.join(heads, ["o", "key"]).where((F.col("class") != F.col("head.class")) & (F.col("n") + F.col("head.n") <= most))

@@ -161,6 +161,22 @@ def test_near_duplicates(docs, texts, empty, run_dir, monkeypatch, rounds, partn
     assert setjoin.components(empty, run_dir + "e").count() == 0
 
 
+@pytest.mark.parametrize("shingle, num", [(4, 85), (5, 80)])
+def test_near_duplicates_of_short_texts(spark, run_dir, shingle, num):
+    rng = random.Random(7)
+    rows = []
+    for n in [*range(6, 21)] * 4:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        rows += [words, rng.choice([[*words, "end"], ["start", *words], words[:-1], words[1:]])]
+    sets = {k: {tuple(w[i : i + shingle]) for i in range(max(1, len(w) - shingle + 1))} for k, w in enumerate(rows)}
+    sizes = collections.Counter(map(len, sets.values()))
+    assert setjoin.small_boundary(sizes, setjoin.Threshold(num)) >= 8  # the smaller ones are in no list
+    want = components(sets, lambda a, b: 100 * len(a & b) >= num * len(a | b))
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(rows)], "doc_id long, text string").repartition(3)
+    got = setjoin.components(docs, run_dir, shingle=shingle, rule=setjoin.Threshold(num)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_archives(spark, run_dir):
     long = "é" * 900
     rows = [(1, "http://a b/ü\r\n", long), (2, None, long), (9, "u", long), (3, "u", None), (4, "u", "short"), (5, "u", "short"), (None, "u", long)]
