@@ -19,6 +19,8 @@ from ledgerline.session import new_run_dir
 
 MIN_LANGUAGE = 0.25
 MAX_HIT = 0.5
+COPY_WORDS = 5  # words of a shingle, and the least similarity of near copies
+COPY_RULE = setjoin.Threshold(80, 100)
 
 
 def _unpacked(df: DataFrame, columns: list[str], **changed) -> DataFrame:
@@ -39,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     prepare(spark)
     folder = new_run_dir(spark, "setjoin")
     key = F.struct("doc_id", F.xxhash64("text").alias("text_key"))
-    found = setjoin.components(docs.select(key.alias("key"), "text"), folder, id_col="key")
+    found = setjoin.components(docs.select(key.alias("key"), "text"), folder, id_col="key", shingle=COPY_WORDS, rule=COPY_RULE)
     found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("kept")).write.parquet(f"{folder}/decisions")
     decided = spark.read.parquet(f"{folder}/decisions")
     again = decided.groupBy("key").agg(F.count("*").alias("n"), F.first("kept").alias("kept"))

@@ -302,6 +302,18 @@ def test_pii_model(spark, docs, empty):
     assert pii.find(empty, pii.train(empty)).count() == 0
 
 
+def test_pipeline_near_copies(spark, run_dir):
+    rng = random.Random(9)
+    texts = []
+    for n, edits in [(94, (20, 60)), (94, (20, 40, 60)), (50, (25,)), (40, (20,)), (8, ())]:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+        copy = [f"edit{k}" if k in edits else w for k, w in enumerate(words)]
+        texts += [" ".join(words), " ".join(copy if edits else [*copy, "end"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # 80 of 100, 75 of 105, 41 of 51, 31 of 41 and 4 of 5 shingles of five words
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, run_dir).collect()) == [0, 2, 3, 4, 6, 7, 8]
+
+
 def test_pipeline_keeps_clean_documents(spark, run_dir):
     rng = random.Random(8)
     word = lambda: rng.choice("ka lo mi ter san dor vel".split()) + rng.choice("na po rit ul em".split())
