@@ -3,7 +3,7 @@
 Unigrams and bigrams are counted over all training texts. An n-gram of count c has the quantised
 level 1 + floor(log2 c) and is put into the filter once for each level up to its own; its level is
 read back by probing levels 1, 2, ... until one is missing. A Bloom filter never misses, so a level
-is exact or, rarely, too high. Bigrams seen once back off to unigrams and are not stored.
+is exact or, rarely, too high.
 
 The model is made in shards by n-gram hash: a task counts what it reads, a shard adds that up and
 makes its own part of the filter, sized by what it holds. Shards go to the workers in broadcasts of
@@ -29,7 +29,6 @@ BLOCK_BYTES = 2 << 20
 BROADCAST_BYTES = 192 << 20
 FILTER_BITS = 10  # per stored (n-gram, level)
 FILTER_HASHES = 5
-MIN_BIGRAM = 2
 LEVELS = 64
 CACHE_WORDS = 1_000_000
 HELD = 4_000_000
@@ -170,6 +169,7 @@ def _tokenize(parts):
             "tokens": [index.astype("<u4").tobytes()],
             "keys": [keys.tobytes()],
         }
+    _known.clear()  # the worker goes on to hold a part of the model
 
 
 def _rows(parts):
@@ -239,8 +239,7 @@ def _make_shards(parts):
         pairs, pair_counts = added(
             [np.frombuffer(r["pairs"], np.uint64) for r in rows], [np.frombuffer(r["pair_counts"], "<u4").astype(np.int64) for r in rows]
         )
-        often = pair_counts >= MIN_BIGRAM
-        cells = make_filter(np.concatenate([words, pairs[often]]), np.concatenate([levels_of(word_counts), levels_of(pair_counts[often])]))
+        cells = make_filter(np.concatenate([words, pairs]), np.concatenate([levels_of(word_counts), levels_of(pair_counts)]))
         row = (shard, words.tobytes(), word_counts.tobytes(), cells.tobytes(), int(word_counts.sum()), 16 * len(words) + len(cells))
         return {n: [v] for n, v in zip(("shard", "words", "word_counts", "filter", "tokens", "bytes"), row, strict=True)}
 

@@ -213,6 +213,16 @@ def test_language_model(docs, texts, empty, run_dir):
     assert lm.score(empty, held, run_dir + "e").count() == 0
 
 
+def test_bigrams_seen_once_count(spark, run_dir):
+    train = [t for k in range(20) for t in (f"h{k} x{k}", f"h{k} x{k}", f"g{k} y{k}", f"g{k} z{k}")]
+    held = [t for k in range(20) for t in (f"g{k} y{k}", f"g{k} y{(k + 1) % 20}")]
+    rows = [(k, t, False) for k, t in enumerate(train)] + [(1000 + k, t, True) for k, t in enumerate(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held boolean")
+    got = {r.doc_id: r.score for r in lm.score(docs, F.col("held"), run_dir).collect()}
+    # Same words, but the first pair of each two was seen once and the second never.
+    assert sum(got[1000 + k] > got[1001 + k] + 0.5 for k in range(0, 40, 2)) >= 18
+
+
 def test_filter_never_misses():
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(1, 2**63, 5000).astype(np.uint64))
