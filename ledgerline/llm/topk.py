@@ -69,7 +69,7 @@ def search_block(block: dict, query_ids: np.ndarray, queries: np.ndarray, k: int
     wide[:, : queries.shape[1]] = queries
     norm = np.sqrt((wide * wide).sum(axis=1))
     score = np.zeros((len(queries), n))
-    enough = min(n, k + block["same_id"])  # entries that may hold only the query's own id don't count
+    enough = min(n, (k + 1) * block["same_id"])  # entries that surely hold k ids besides the query's own
     possible = np.ones((len(queries), n), dtype=bool)
     for vector, dimension, value, open_ in block["segments"]:
         slab = np.zeros((n, dims))
@@ -94,6 +94,10 @@ def search_block(block: dict, query_ids: np.ndarray, queries: np.ndarray, k: int
         rows, got = rows[best], got[best]
         at, slot = np.nonzero(block["has"][rows] & (block["members"][rows] != query_ids[q]))
         ids, scores = block["members"][rows[at], slot], got[at]
+        by = np.lexsort((-scores, ids))
+        ids, scores = ids[by], scores[by]
+        best = np.r_[True, ids[1:] != ids[:-1]][: len(ids)]
+        ids, scores = ids[best], scores[best]
         top = np.lexsort((ids, -scores))[:k]
         out_q.append(np.full(len(top), q))
         out_id.append(ids[top])

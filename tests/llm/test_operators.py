@@ -272,6 +272,23 @@ def test_top_k(spark, run_dir):
     assert topk.top_k(df.limit(0), F.col("id") % 50 == 0, run_dir + "e").count() == 0
 
 
+def test_top_k_of_repeated_ids(spark, run_dir):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(400, 8)) / 3
+    ids = np.r_[np.arange(300), np.repeat([300, 301], 20), rng.integers(0, 300, 60)]
+    for k in range(300, 340):
+        vectors[k] = vectors[50 * (k % 6)] * rng.uniform(3, 4)
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id long, embedding array<float>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df.coalesce(1), F.col("id") % 50 == 0, run_dir).collect()}
+    whole = np.floor(256 * vectors.astype(np.float32).astype(float)).astype(int)
+    want = {}
+    for q in range(0, 301, 50):
+        score = (whole @ whole[ids == q].T).max(axis=1)
+        best = sorted((-score[ids == i].max(), i) for i in set(ids.tolist()) - {q})[:5]
+        want |= {(q, r + 1): (i, -s) for r, (s, i) in enumerate(best)}
+    assert got == want
+
+
 def test_language(spark, empty):
     rows = [(k, f"{w} garden stone tree {w}", "en") for k, w in enumerate("the of and with".split())]
     rows += [(k + 10, f"{w} straße größe und {w}", "de") for k, w in enumerate("der die das ist".split())]
