@@ -24,7 +24,6 @@ GRAM = 3
 HASHES = 3
 MAX_SLOTS = 1 << 22
 SHARE = 0.15  # a language contains an n-gram if it uses it at this share of the keenest language's rate
-MIN_COUNT = 2
 WORD_BITS = 62
 HELD = 1_000_000
 UNKNOWN = "und"
@@ -154,15 +153,13 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_s
         "lang string, word int, bit bigint, total double",
     )
     used = counts.join(F.broadcast(lookup), "lang").withColumn("rate", F.col("n") / F.col("total"))
-    by_gram = used.groupBy("gram").agg(F.max("rate").alias("peak"), F.collect_list(F.struct("word", "bit", "rate", "n")).alias("uses"))
+    by_gram = used.groupBy("gram").agg(F.max("rate").alias("peak"), F.collect_list(F.struct("word", "bit", "rate")).alias("uses"))
 
     def mask(w):
         return F.aggregate(
             "uses",
             F.lit(0).cast("bigint"),
-            lambda acc, u: F.when(
-                (u["word"] == w) & (u["rate"] >= SHARE * F.col("peak")) & (u["n"] >= MIN_COUNT), acc.bitwiseOR(u["bit"])
-            ).otherwise(acc),
+            lambda acc, u: F.when((u["word"] == w) & (u["rate"] >= SHARE * F.col("peak")), acc.bitwiseOR(u["bit"])).otherwise(acc),
         )
 
     masks = by_gram.select("gram", *[mask(w).alias(f"w{w}") for w in range(words)])

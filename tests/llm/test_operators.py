@@ -301,6 +301,13 @@ def test_language(spark, empty):
     assert {r.result.lang_pred for r in langid.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_pipeline_keeps_a_rare_language(spark, run_dir):
+    rows = [(k, f"{w} garden stone tree {w} and the river", "en") for k, w in enumerate("the of and with".split() * 10)]
+    docs = spark.createDataFrame([*rows, (100, "hyvää päivää, kuinka voit", "fi")], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.language(spark, docs, run_dir).collect()}
+    assert kept == {k: lang for k, _, lang in rows} | {100: "fi"}
+
+
 def test_strict_spans_equal_the_patterns():
     rng = random.Random(4)
     signs = list("ab1@.-+ ()%") + ["@x.y", "1.2.3.4", "+1 (202) 555-0100", "4111 1111 1111 1111", "256.1.1.1", "é"]
