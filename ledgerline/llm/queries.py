@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import chat, fmindex, langid, lm, packing, pii, quality, setjoin, topk, warc
+from ledgerline.llm import chat, fmindex, langid, lm, merkle, packing, pii, quality, rules, setjoin, topk, warc, whitening
 from ledgerline.session import new_run_dir, pin_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,89 @@ def op6(spark, sf_dir):
 def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return setjoin.components(docs, new_run_dir(spark, "setjoin"))
+
+
+@query("op11_quality_rules")
+def op11(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality")
+    judged, _ = rules.judge(docs, labels, new_run_dir(spark, "rules"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# H as in merkle.row_digest; the checksum of an id's decimal text is folded bit by bit.
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in merkle.FIELDS) + ")"
+_EVEN_CRC = """list_reduce(flatten(list_transform(string_split(doc_id::varchar, ''),
+    lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: case when x >= 0 then xor(a, x) when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end,
+    4294967295::bigint) % 2 = 1"""
+
+MERKLE_SQL = f"""
+with recursive
+rows_ as (
+  select doc_id, if(source is null, '', 'x' || source) as s, {_LEAF} as leaf,
+         {_LEAF.replace("text::", "came::")} as arrived
+  from (select *, if(coalesce({_EVEN_CRC}, false), replace(text, chr(10), ''), text) as came from documents)),
+leaves as (
+  select *, row_number() over (order by s, doc_id nulls first, leaf) as id,
+         row_number() over (partition by s order by doc_id nulls first, leaf) - 1 as pos
+  from rows_),
+nodes(s, level, pos, hash) as (
+  select s, 0, pos, leaf from leaves
+  union all
+  select s, level + 1, pos // 3, sha256(string_agg(hash, '' order by pos))
+  from (select *, count(*) over (partition by s) as n from nodes) where n > 1 group by s, level, pos // 3),
+heights as (select s, max(level) as height from nodes group by s),
+subroots as (
+  select s, hash, row_number() over (order by s) - 1 as place from nodes join heights using (s) where level = height),
+tops(level, pos, hash) as (
+  select 0, place, hash from subroots
+  union all
+  select level + 1, pos // 3, sha256(string_agg(hash, '' order by pos))
+  from (select *, count(*) over () as n from tops) where n > 1 group by level, pos // 3),
+top as (select max(level) as height, max_by(hash, level) as root from tops),
+-- Both trees as one: the nodes of a source, then those above all subroots.
+runs as (
+  select s, level, pos, hash from nodes join heights using (s) where level < height
+  union all
+  select h.s, h.height + t.level, t.pos, t.hash from heights h, tops t where t.level < (select height from top)),
+paths as (
+  select l.id, l.s, g.level, if(g.level < height, l.pos // (3 ** g.level)::bigint, place // (3 ** (g.level - height))::bigint) as own
+  from leaves l join heights using (s) join subroots using (s),
+       (select unnest(range(64)) as level) g
+  where g.level < height + (select height from top)),
+steps as (
+  select p.id, p.level, own, r.pos, r.hash
+  from paths p join runs r on r.s = p.s and r.level = p.level and r.pos // 3 = own // 3),
+proofs as (
+  select id, sha256(string_agg(hash, '' order by level, pos)) as proof_sha256 from steps where pos <> own group by id),
+folds(id, level, node) as (
+  select id, 0, arrived from leaves
+  union all
+  select f.id, f.level + 1, sha256(string_agg(if(t.pos = t.own, f.node, t.hash), '' order by t.pos))
+  from folds f join steps t on t.id = f.id and t.level = f.level group by f.id, f.level)
+select doc_id, leaf, r.hash as subroot, root, coalesce(proof_sha256, sha256('')) as proof_sha256,
+       node as folded_root, node = root as verified
+from leaves join subroots r using (s) join heights using (s) left join proofs using (id)
+join folds f using (id) cross join top
+where f.level = heights.height + top.height"""
+
+
+@query("op12_merkle_manifest", MERKLE_SQL)
+def op12(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", *merkle.FIELDS)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    received = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, new_run_dir(spark, "merkle"), {"text": received})
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    white = whitening.whiten(rows, whitening.fit(rows))
+    return white.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
