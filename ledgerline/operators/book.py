@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.exprs import to_money
 from ledgerline.functions.schemas import MONEY
 from ledgerline.operators.latest import first_ranked, latest_per_key
 from ledgerline.operators.merge import keyed_merge
-from ledgerline.operators.ordered import WIDTH, with_previous, with_running_sum
+from ledgerline.operators.ordered import CHUNK, WIDTH, chunked, in_ranges
 
 LEVEL = ["symbol_id", "side", "price_level"]
 TRACKED_DEPTH = 20
@@ -101,38 +101,68 @@ def snapshot_levels(messages: DataFrame) -> DataFrame:
     )
 
 
-def check_sequence(events: DataFrame, snapshots: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Continuity of depth events (symbol_id, first_u, last_u) after each snapshot of their symbol.
+def sequenced(events: DataFrame, snapshots: DataFrame, width: int = WIDTH, path: str | None = None) -> DataFrame:
+    """Depth events (symbol_id, first_u, last_u, ...) that some snapshot of their symbol precedes.
 
-    An event belongs to the last snapshot below it; events that no snapshot precedes are dropped.
-    The first event of a snapshot must straddle the snapshot's next id and each later one must
-    start where its predecessor ended. ``is_gap`` marks the events that break this,
-    ``resync_epoch`` counts the breaks of the symbol so far.
+    Adds ``snapshot_id`` (the last snapshot below the event), ``is_gap``, ``resync_epoch`` and ``applies``: a
+    gap ends what can be applied until the next snapshot. See ``check_sequence`` for the rules.
+
+    Events and snapshots go through one exchange; everything that crosses a chunk's border is one row per
+    chunk. With ``path`` chunks are ranges of the data (``in_ranges``), else of ids.
     """
+    keys, axis, snap = ["symbol_id"], "__axis", F.col("__snap")
     # Events and snapshots on one axis: an event that ends at a snapshot's id still comes before it.
-    axis = F.col("last_u") * 2
-    points = events.withColumns({"__axis": axis, "__snap": F.lit(None).cast("bigint")}).unionByName(
+    points = events.withColumns({axis: F.col("last_u") * 2, "__snap": F.lit(None).cast("bigint")}).unionByName(
         snapshots.select("symbol_id", F.col("last_update_id").alias("__snap"))
         .distinct()
-        .withColumn("__axis", F.col("__snap") * 2 + 1),
+        .withColumn(axis, snap * 2 + 1),
         allowMissingColumns=True,
     )
-    numbered = with_running_sum(
-        points, ["symbol_id"], "__axis", F.col("__snap").isNotNull().cast("bigint"), "__no", 2 * width
+    if path:
+        points = in_ranges(points, keys, axis, path)
+    cut = chunked(points, keys, axis, 2 * width)
+    piece = [*keys, CHUNK]
+    before = Window.partitionBy(*piece).orderBy(axis).rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*piece).orderBy(axis).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+
+    # Ids grow along the axis, so the largest one so far is the last one.
+    seen = cut.withColumns({"__s": F.max(snap).over(before), "__p": F.max("last_u").over(before)})
+    last = cut.groupBy(*piece).agg(F.max(snap).alias("s"), F.max("last_u").alias("p"))
+    carried = last.select(*piece, F.max("s").over(earlier).alias("s"), F.max("p").over(earlier).alias("p"))
+    known = seen.join(carried, piece, "left").withColumns(
+        {"snapshot_id": F.coalesce("__s", "s"), "__p": F.coalesce("__p", "p")}
     )
-    base = numbered.where(F.col("__snap").isNotNull()).select("symbol_id", "__no", "__snap")
-    fresh = numbered.where(F.col("__snap").isNull()).drop("__snap", "__axis").join(base, ["symbol_id", "__no"])
-    seen = with_previous(fresh, ["symbol_id", "__no"], "last_u", {"last_u": "__prev"}, width)
-    start, end, snap = F.col("first_u"), F.col("last_u"), F.col("__snap") + 1
-    ok = F.when(F.col("__prev").isNull(), (start <= snap) & (snap <= end)).otherwise(
-        start == F.col("__prev") + 1
-    )
-    marked = seen.withColumn("is_gap", ~ok).drop("__snap", "__prev", "__no")
-    return with_running_sum(
-        marked, ["symbol_id"], "last_u", F.col("is_gap").cast("bigint"), "resync_epoch", width
+    fresh = known.where(snap.isNull() & F.col("snapshot_id").isNotNull())
+    start, end, base = F.col("first_u"), F.col("last_u"), F.col("snapshot_id")
+    follows = F.col("__p") > base
+    ok = F.when(follows, start == F.col("__p") + 1).otherwise((start <= base + 1) & (base + 1 <= end))
+    marked = fresh.select(*events.columns, CHUNK, axis, "snapshot_id", (~F.coalesce(ok, F.lit(False))).alias("is_gap"))
+
+    gap = F.when(F.col("is_gap"), end)
+    counted = marked.withColumns({"__n": F.count(gap).over(upto), "__g": F.max(gap).over(upto)})
+    totals = marked.groupBy(*piece).agg(F.count(gap).alias("n"), F.max(gap).alias("g"))
+    sums = totals.select(*piece, F.sum("n").over(earlier).alias("n"), F.max("g").over(earlier).alias("g"))
+    return counted.join(sums, piece, "left").select(
+        *events.columns,
+        "snapshot_id",
+        "is_gap",
+        (F.col("__n") + F.coalesce("n", F.lit(0))).alias("resync_epoch"),
+        (F.coalesce(F.greatest("__g", "g"), base) <= base).alias("applies"),
     )
 
 
+def check_sequence(events: DataFrame, snapshots: DataFrame, width: int = WIDTH, path: str | None = None) -> DataFrame:
+    """Continuity of depth events (symbol_id, first_u, last_u) after each snapshot of their symbol.
+
+    An event belongs to the last snapshot below it; events that no snapshot precedes are dropped.
+    The first event of a snapshot must straddle the snapshot's next id and each later one must
+    start where its predecessor ended. ``is_gap`` marks the events that break this,
+    ``resync_epoch`` counts the breaks of the symbol so far.
+    """
+    return sequenced(events, snapshots, width, path).drop("snapshot_id", "applies")
+
+
 def top_of_book(levels: DataFrame) -> DataFrame:
     """One row per symbol: the most recently updated level of each side is the quote.
 

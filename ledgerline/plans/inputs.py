@@ -385,3 +385,63 @@ def snapshot_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("symbol_id", F.to_json(message).alias("payload"))
     )
+
+
+def depth_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every level change with its number n within the symbol, its message, and what befalls the feed.
+
+    Four consecutive ids make a message. Two snapshots are taken, after a quarter and after half of a symbol's
+    changes; the messages at three and at seven eighths are lost.
+    """
+    numbered = with_row_number(book_events(spark, sf_dir), ["symbol_id"], "event_id", "n")
+    totals = numbered.groupBy("symbol_id").agg(F.max("n").alias("total"))
+    n, total = F.col("n"), F.col("total")
+
+    def message(number) -> Column:
+        return F.floor(number / 4)
+
+    taken = F.array(F.floor(total / 4), F.floor(total / 2))
+    return numbered.join(totals, "symbol_id").select(
+        "symbol_id",
+        "side",
+        "price_level",
+        F.when(F.col("event_type") == "error", 0).otherwise(F.col("quantity")).alias("quantity"),
+        "n",
+        message(n).alias("message"),
+        message(n).isin(message(total * 3 / 8), message(total * 7 / 8)).alias("lost"),
+        taken.alias("snapshots"),
+    )
+
+
+def depth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Depth feed: diff messages, some of them lost, and two snapshots per symbol with the whole book.
+
+    A snapshot comes in pages of 100 prices, which bounds a message; its id may fall inside a message.
+    """
+    rows = depth_numbers(spark, sf_dir)
+    pair = F.array(F.col("price_level").cast("string"), F.col("quantity").cast("string"))
+
+    def side(name: str, order: str) -> Column:
+        kept = F.collect_list(F.when(F.col("side") == name, F.struct(F.col(order).alias("at"), pair.alias("pair"))))
+        return F.transform(F.array_sort(kept), lambda x: x["pair"])
+
+    diffs = (
+        rows.where(~F.col("lost"))
+        .groupBy("symbol_id", "message")
+        .agg(F.min("n").alias("first"), F.max("n").alias("last"), side("bid", "n").alias("b"), side("ask", "n").alias("a"))
+        .select("symbol_id", F.to_json(F.struct(F.lit("depthUpdate").alias("e"), F.col("last").alias("u"), "b", "a")).alias("text"), "first")
+        # Two names that differ in case only do not fit into one struct.
+        .select("symbol_id", F.concat(F.lit('{"U":'), F.col("first").cast("string"), F.lit(","), F.expr("substring(text, 2)")).alias("payload"))
+    )
+    book = (
+        rows.withColumn("snapshot", F.explode("snapshots"))
+        .where(F.col("n") <= F.col("snapshot"))
+        .groupBy("symbol_id", "snapshot", "side", "price_level")
+        .agg(F.max_by("quantity", "n").alias("quantity"))
+    )
+    loads = (
+        book.groupBy("symbol_id", "snapshot", F.floor(F.col("price_level") / 100).alias("page"))
+        .agg(side("bid", "price_level").alias("bids"), side("ask", "price_level").alias("asks"))
+        .select("symbol_id", F.to_json(F.struct(F.col("snapshot").alias("lastUpdateId"), "bids", "asks")).alias("payload"))
+    )
+    return diffs.unionByName(loads)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions.schemas import CURRENT, KEYS
-from ledgerline.operators import book, cdc
+from ledgerline.operators import book, cdc, depth
 from ledgerline.operators import quality as q
 from ledgerline.plans import inputs, marts
 from ledgerline.plans import sql as s
@@ -264,3 +264,63 @@ def depth_gap_detect(spark, sf_dir):
     )
     events = feed.where(F.col("event_type") != "error").drop("event_type")
     return book.check_sequence(events, snapshots)
+
+
+@query(
+    "book_top_n_diff",
+    f"""
+with {s.BOOK},
+changes as (
+  select symbol_id, side, price_level, if(event_type = 'error', 0, quantity) as quantity, event_id,
+         row_number() over (partition by symbol_id, side order by event_id) as k from book),
+spans as (
+  select symbol_id, side, price_level, quantity, k as since,
+         coalesce(lead(k) over (partition by symbol_id, side, price_level order by k), 9223372036854775807) as until
+  from changes),
+tops as (
+  select c.symbol_id, c.side, c.k, s.price_level, s.quantity
+  from changes c join spans s
+    on s.symbol_id = c.symbol_id and s.side = c.side and s.since <= c.k and c.k < s.until and s.quantity > 0
+  qualify row_number() over (partition by c.symbol_id, c.side, c.k
+                             order by if(c.side = 'bid', -s.price_level, s.price_level)) <= 20),
+both_ as (
+  select symbol_id, side, k, price_level, max(quantity) filter (which = 'new') as new, max(quantity) filter (which = 'old') as old
+  from (select symbol_id, side, k, price_level, quantity, 'new' as which from tops
+        union all
+        select symbol_id, side, k + 1, price_level, quantity, 'old' from tops)
+  group by symbol_id, side, k, price_level)
+select symbol_id, side, {s.num("price_level")} as price_level, event_id as version,
+       case when old is null then 'c' when new is null then 'd' else 'u' end as op,
+       coalesce({s.num("new")}, -1) as quantity
+from both_ join (select symbol_id, side, k, event_id from changes) using (symbol_id, side, k)
+where new is distinct from old""",
+)
+def book_top_n_diff(spark, sf_dir):
+    """What every change of the book does to the best 20 levels of its side."""
+    diffs = _diffs(spark, sf_dir).withColumnRenamed("last_update_id", "version").drop("ts")
+    found = depth.top_level_diffs(diffs, new_run_dir(spark, "depth"))
+    return found.withColumn("quantity", F.coalesce("quantity", F.lit(-1)))
+
+
+@query(
+    "book_from_feed",
+    f"""
+with {s.BOOK},
+numbered as (
+  select *, row_number() over (partition by symbol_id order by event_id) as n, count(*) over (partition by symbol_id) as total
+  from book),
+-- The last change of the last message that applies after each snapshot.
+epochs as (
+  select distinct symbol_id, total // 4 as snapshot_id, (total * 3 // 8 // 4) * 4 - 1 as upto from numbered
+  union all
+  select distinct symbol_id, total // 2, (total * 7 // 8 // 4) * 4 - 1 from numbered)
+select symbol_id, snapshot_id, side, {s.num("price_level")} as price_level, {s.num("quantity")} as quantity,
+       if(n // 4 >= (snapshot_id + 1) // 4, (n // 4) * 4 + 3, snapshot_id) as last_update_id
+from numbered join epochs using (symbol_id)
+where n <= upto
+qualify row_number() over (partition by symbol_id, snapshot_id, side, price_level order by n desc) = 1
+    and event_type <> 'error' and quantity <> 0""",
+)
+def book_from_feed(spark, sf_dir):
+    """Two snapshots and a gap after each: the book up to either gap."""
+    return depth.book_from_feed(inputs.depth_messages(spark, sf_dir))
