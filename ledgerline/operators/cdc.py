@@ -115,22 +115,34 @@ def dimension_changes(decoded: DataFrame, table: str) -> DataFrame:
     return rows.where(_usable(table))
 
 
-def rejects(decoded: DataFrame, table: str) -> DataFrame:
-    """Records of a table that its typed reader skips, with the reason.
-
-    Updates and deletes of trades are no rejects; they are ignored by rule.
-    """
+def _classified(decoded: DataFrame, table: str) -> DataFrame:
+    """Records of a table with their ``outcome``: kept, ignored, or the reason of a reject."""
     op = F.col("op")
     kept, ignored = _usable(table, "typed."), F.lit(False)
     if table == "trades":
         kept, ignored = kept & op.isin("c", "r"), op.isin("u", "d")
-    reason = (
-        F.when(op.isNull(), "no operation")
+    outcome = (
+        F.when(kept, "kept")
+        .when(ignored, "ignored")
+        .when(op.isNull(), "no operation")
         .when(~op.isin("c", "r", "u", "d"), "unsupported operation")
         .when(~_usable(table, "image."), "no key")
         .otherwise("unreadable key")
     )
     own = decoded.where(F.col("src_table") == table)
     typed = with_image(own, table).withColumn("typed", F.struct(*_typed(table)))
-    skipped = typed.where(~F.coalesce(kept | ignored, F.lit(False)))
-    return skipped.select("src_table", reason.alias("reason"), "kafka_offset", "value")
+    return typed.withColumn("outcome", outcome)
+
+
+def outcomes(decoded: DataFrame, table: str) -> DataFrame:
+    """(src_table, outcome) of every record of a table."""
+    return _classified(decoded, table).select("src_table", "outcome")
+
+
+def rejects(decoded: DataFrame, table: str) -> DataFrame:
+    """Records of a table that its typed reader skips, with the reason.
+
+    Updates and deletes of trades are no rejects; they are ignored by rule.
+    """
+    skipped = _classified(decoded, table).where(~F.col("outcome").isin("kept", "ignored"))
+    return skipped.select("src_table", F.col("outcome").alias("reason"), "kafka_offset", "value")

@@ -14,6 +14,7 @@ from ledgerline.plans.registry import query
 from ledgerline.session import new_run_dir
 from ledgerline.sources.log import file_log
 from ledgerline.streaming.current import VERSION, CurrentState, start_current
+from ledgerline.streaming.keyed import KeyedOutput, start_keyed
 from ledgerline.streaming.tables import MergedTable
 
 _STATE = f"""
@@ -70,6 +71,20 @@ def book_current_state_stream(spark, sf_dir):
     return state.read(spark, "orderbook_levels")
 
 
+@query("book_state_store_stream", _STATE)
+def book_state_store_stream(spark, sf_dir):
+    """The same state kept by Spark's state store, through a restart for every slice."""
+    root = new_run_dir(spark, "keyed")
+    output = KeyedOutput(f"{root}/out", KEYS["orderbook_levels"], CURRENT["orderbook_levels"])
+    for n in ship(inputs.book_log(spark, sf_dir), f"{root}/log"):
+        changes = cdc.book_changes(cdc.decode(file_log(spark, f"{root}/log")))
+        start_keyed(changes, output, VERSION, f"{root}/checkpoint", {"availableNow": True}, root).awaitTermination()
+        if n == 2:
+            output.compact(spark, upto=1)
+            output.remove_below(spark, 1)
+    return output.current(spark)
+
+
 @query("book_version_guard", _STATE)
 def book_version_guard(spark, sf_dir):
     """The slices of the log arrive in reverse; the guard still leaves the newest versions."""

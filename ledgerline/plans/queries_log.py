@@ -32,9 +32,10 @@ def _slice():
 def ship(log: DataFrame, path: str):
     """Append a log to a folder slice by slice, yielding after each one.
 
-    The log is cached while its slices are written, as each is a filter over the same rows.
+    The log is cached while its slices are written, as each is a filter over the same rows. A column
+    ``slice`` says which one a record comes in; without it the day of the month does.
     """
-    rows = log.withColumn("slice", _slice()).persist()
+    rows = (log if "slice" in log.columns else log.withColumn("slice", _slice())).persist()
     try:
         for n in range(SLICES):
             part = rows.where(F.col("slice") == n)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,11 +19,14 @@ def kafka_log(
     topic_prefix: str = TOPIC_PREFIX,
     starting_offsets: str = "earliest",
     max_per_trigger: int | None = None,
+    starting_timestamp: int | None = None,
 ) -> DataFrame:
     """Every topic under the prefix as one stream. Needs the Kafka connector on the classpath.
 
-    ``earliest`` replays the whole log on the first start, ``latest`` takes live changes only;
-    later starts resume from the checkpoint either way. ``max_per_trigger`` bounds a micro-batch; by
+    ``earliest`` replays the whole log on the first start, ``latest`` takes live changes only, and the text
+    from ``starting_offsets_json`` resumes every partition where it was left; ``starting_timestamp`` (epoch
+    milliseconds) starts each one at its first record of that time. Later starts resume from the checkpoint
+    either way. ``max_per_trigger`` bounds a micro-batch; by
     default it takes all that has arrived.
     """
     reader = (
@@ -31,6 +35,8 @@ def kafka_log(
         .option("subscribePattern", re.escape(topic_prefix) + ".*")
         .option("startingOffsets", starting_offsets)
     )
+    if starting_timestamp is not None:
+        reader = reader.option("startingTimestamp", starting_timestamp)
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
@@ -47,3 +53,38 @@ def file_log(spark: SparkSession, path: str, max_files_per_trigger: int | None =
 def from_offset(log: DataFrame, start) -> DataFrame:
     """Replay of a stored log from just after ``start`` (a number or a scalar subquery)."""
     return log.where(F.col("offset") > start)
+
+
+POSITION = ["topic", "partition"]
+
+
+def committed_positions(log: DataFrame, upto=None) -> DataFrame:
+    """The last offset per topic and partition, among the records for which ``upto`` holds."""
+    rows = log if upto is None else log.where(upto)
+    return rows.groupBy(*POSITION).agg(F.max("offset").alias("position"))
+
+
+def from_positions(log: DataFrame, positions: DataFrame) -> DataFrame:
+    """Replay of a stored log from just after each partition's own position.
+
+    A partition without a position is replayed from its start. ``positions`` has a row per topic and
+    partition at most, so Spark broadcasts it by its size.
+    """
+    last = positions.select(*POSITION, F.col("position").alias("__position"))
+    ahead = F.col("__position").isNull() | (F.col("offset") > F.col("__position"))
+    return log.join(last, POSITION, "left").where(ahead).select(*log.columns)
+
+
+def starting_offsets_json(positions: DataFrame, all_partitions: DataFrame | None = None) -> str:
+    """Kafka's ``startingOffsets`` for going on after ``positions``; others in ``all_partitions`` start over.
+
+    One row per topic and partition reaches the driver.
+    """
+    known = positions.select(*POSITION, (F.col("position") + 1).alias("start"))
+    if all_partitions is not None:
+        # -2 is Kafka's number for the earliest offset.
+        known = all_partitions.select(*POSITION).distinct().join(known, POSITION, "left").fillna(-2, ["start"])
+    out: dict[str, dict[str, int]] = {}
+    for r in known.orderBy(*POSITION).collect():
+        out.setdefault(r["topic"], {})[str(r["partition"])] = r["start"]
+    return json.dumps(out)

@@ -5,7 +5,7 @@ import re
 import pytest
 from conftest import SF
 
-from ledgerline.plans import queries_book, queries_dims, queries_log, queries_market  # noqa: F401
+from ledgerline.plans import queries_book, queries_dims, queries_log, queries_market, queries_streams  # noqa: F401
 from ledgerline.plans.registry import QUERIES
 from ledgerline.sources.tables import table
 
@@ -16,6 +16,15 @@ EAGER = {
     "silver_rebuild_from_bronze",
     "cdc_stream_ingest",
     "book_current_state_stream",
+    "book_state_store_stream",
+    "book_partitioned_stream",
+    "symbols_current",
+    "exchanges_current",
+    "trades_current_stream",
+    "cdc_stream_outcomes",
+    "bronze_tables",
+    "dedup_trades_stream",
+    "ohlcv_1m_stream",
     "book_version_guard",
     "scd2_snapshot_incremental",
     "gold_build_rowcounts",
