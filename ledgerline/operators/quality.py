@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators.ordered import with_next
@@ -19,9 +19,13 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return counts.where(F.col("n") > 1)
 
 
+def any_null(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
 def nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows with a NULL in any of the columns."""
-    return df.where(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
+    return df.where(any_null(columns))
 
 
 def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -77,3 +81,47 @@ def summarise(checks: dict[str, DataFrame]) -> DataFrame:
         for name, violations in checks.items()
     ]
     return reduce(DataFrame.unionByName, counted)
+
+
+def profile(
+    df: DataFrame,
+    unique: dict[str, list[str]],
+    flags: dict[str, Column] | None = None,
+    exactly_one: dict[str, tuple[list[str], Column]] | None = None,
+) -> DataFrame:
+    """(check_name, violations) for several checks in one scan and one shuffle of a table.
+
+    ``unique``: key values that occur more than once (a key with a NULL part is passed over). ``flags``:
+    rows for which a condition holds. ``exactly_one``: key values without exactly one row for which
+    a condition holds. A row takes part once per key, combined in its task before the shuffle.
+    """
+    flags, exactly_one = flags or {}, exactly_one or {}
+    keys = [*[(cols, F.lit(False)) for cols in unique.values()], *exactly_one.values()]
+    n_unique = len(unique)
+
+    def entry(kind: int, cols: list[str], mark: Column) -> Column:
+        # NULL parts: only uniqueness passes over them.
+        skip = any_null(cols) if kind < n_unique else F.lit(False)
+        key = F.when(~skip, F.array(*[F.col(c).cast("string") for c in cols]))
+        bad = [F.coalesce(c, F.lit(False)) if kind == 0 else F.lit(False) for c in flags.values()]
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            key.alias("key"),
+            F.coalesce(mark, F.lit(False)).alias("mark"),
+            *[b.alias(f"flag{k}") for k, b in enumerate(bad)],
+        )
+
+    entries = F.explode(F.array(*[entry(k, *key) for k, key in enumerate(keys)]))
+    per_key = (
+        df.select(entries.alias("e"))
+        .select("e.*")
+        .groupBy("kind", "key")
+        .agg(F.count("*").alias("n"), F.count_if("mark").alias("marked"), *[F.count_if(f"flag{k}").alias(f"flag{k}") for k in range(len(flags))])
+    )
+    kind, whole = F.col("kind"), F.col("key").isNotNull()
+    found = {name: F.count_if((kind == k) & whole & (F.col("n") > 1)) for k, name in enumerate(unique)}
+    found |= {name: F.count_if((kind == n_unique + k) & (F.col("marked") != 1)) for k, name in enumerate(exactly_one)}
+    found |= {name: F.coalesce(F.sum(f"flag{k}"), F.lit(0)) for k, name in enumerate(flags)}
+    row = per_key.agg(*[c.alias(f"v{k}") for k, c in enumerate(found.values())])
+    pairs = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"v{k}").alias("violations")) for k, name in enumerate(found)])
+    return row.select(F.explode(pairs).alias("p")).select("p.*")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +40,22 @@ def pin_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Runtime settings for the jobs and streams started inside; the session's own come back after."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

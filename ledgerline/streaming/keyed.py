@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerline.operators.latest import latest_per_key
+from ledgerline.session import settings
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -93,15 +94,15 @@ def start_keyed(
     The store's provider and number of partitions are those of the first start.
     """
     spark = changes.sparkSession
-    for key, value in ROCKSDB.items():
-        spark.conf.set(key, value)
     values = [c for c in output.names if c not in output.keys]
     state = newest_changes(changes, output.keys, values, order)
-    return (
+    writer = (
         state.writeStream.queryName(name)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "15 seconds"}))
         .foreachBatch(output.write_batch)
-        .start()
     )
+    # A query keeps the settings it was started with; other streams of the session have theirs.
+    with settings(spark, ROCKSDB):
+        return writer.start()

@@ -25,6 +25,7 @@ from ledgerline.functions.schemas import CURRENT, FACTS, KEYS, LANDING, PAYLOADS
 from ledgerline.operators import cdc
 from ledgerline.operators.latest import latest_per_key
 from ledgerline.operators.merge import fold_changes, new_rows
+from ledgerline.session import settings
 from ledgerline.sources.log import TOPIC_PREFIX
 
 ORDERS = {
@@ -113,9 +114,9 @@ class Lake:
     def _replace(self, table: str, rows: DataFrame, partitions: list[str]) -> None:
         """Replace the partitions that ``rows`` has, and no others."""
         spark = rows.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         ordered = rows.select(*spark.table(self.name(table)).columns)
-        ordered.hint("rebalance", *partitions).write.insertInto(self.name(table), overwrite=True)
+        with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+            ordered.hint("rebalance", *partitions).write.insertInto(self.name(table), overwrite=True)
 
     def insert_trades(self, rows: DataFrame) -> None:
         """Append the trades whose key is new; only the days and symbols of the batch are read."""

@@ -200,3 +200,16 @@ def test_positions(spark):
     assert rows(from_positions(log, done), "topic", "partition", "offset") == [("a", 0, 3), ("a", 0, 4), ("a", 1, 1), ("a", 1, 2), ("b", 0, 9)]
     assert json.loads(starting_offsets_json(done, log)) == {"a": {"0": 3, "1": 1}, "b": {"0": -2}}
     assert from_positions(log, done.limit(0)).count() == len(data)
+
+
+def test_settings_of_the_session_come_back(spark, run_dir, lake, book_log):
+    names = ["spark.sql.sources.partitionOverwriteMode", "spark.sql.streaming.stateStore.providerClass"]
+    before = [spark.conf.get(n, None) for n in names]
+    lake.merge("orderbook_levels", spark.createDataFrame([level(1, 1, 1)], LEVELS))
+    deliver(book_log.limit(5), f"{run_dir}/log")
+    output = KeyedOutput(f"{run_dir}/out", KEYS["orderbook_levels"], CURRENT["orderbook_levels"])
+    q = start_keyed(cdc.book_changes(cdc.decode(file_log(spark, f"{run_dir}/log"))), output, VERSION, f"{run_dir}/cp", ONCE, run_dir)
+    q.awaitTermination()
+    assert [spark.conf.get(n, None) for n in names] == before
+    offsets = spark.read.text(f"{run_dir}/cp/offsets").collect()
+    assert any("RocksDBStateStoreProvider" in r.value for r in offsets)
