@@ -9,10 +9,13 @@ same components as all pairs, in as many rows as there are subsets.
 
 Large sets: of the shingles in one global order, rarest first, linked sets share one among the first
 n - ceil(J n) + 1, so only those go into inverted lists. The lists are scanned from every set that is
-not of a list's most frequent label (at first, each class is its own label). Where lists are long, the
-first scans take up only a few partners of each set; what links is contracted to one label. The last
-scan has no limit: every pair of different labels that shares a list is checked. So a group of
-thousands of near copies costs a few checks per member, not all its pairs, and no link is lost.
+not of a list's most frequent label (at first, each class is its own label). The first scan takes up one
+partner of each set, the first in an order that is the same for all, so near copies meet at one of
+them; what links is contracted to one label, until nothing changes. After that each list that still
+has several labels is scanned without limit if that makes few pairs per entry, else with a growing
+limit; the last scan has none: every pair of different labels that shares a list is checked. So a group
+of thousands of near copies costs a check or two per member, not all its pairs, and no link is lost.
+Between scans only labels are kept, one row per class, not the links they came from.
 
 The boundary between small and large is where the counted sizes make enumeration and lists cost the
 same. Candidates are checked by parity bitmaps (the number of differing bits is never more than the
@@ -37,11 +40,11 @@ SHINGLE = 4
 HEAVY_IN_TASK = 4
 HEAVY_DOCS = 64
 HEAVY_MAX = 1_000_000  # entries of the broadcast order of frequent shingles; others go by their hash
-BROADCAST_IDS = 2_000_000  # ids that may be broadcast; more are joined by shuffling
+BROADCAST_IDS = 500_000  # ids that may be broadcast; more are joined by shuffling
 MAX_SMALL = 48
 LIST_COST = 8.0  # what a list entry costs in rows of an enumerated subset: counting, scanning, checking
-ROUNDS = (32,)  # partners checked per set before the scan without limit
-MEAN_PARTNERS = 8  # open pairs per list entry up to which no such round is needed
+ROUNDS = (1, 8, 64, None)  # partners that a scan takes up of each set in long lists
+MEAN_PARTNERS = 8  # open pairs per entry up to which a list is not long, once near copies are contracted
 SCAN_BLOCK = 1024
 HELD = 8_000_000
 CACHE_WORDS = 100_000  # hashes a worker keeps from block to block, some 15 MB
@@ -397,12 +400,11 @@ class ClassJoin:
         open_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
         return rows.join(open_, "token", "left_semi")
 
-    def open_pairs(self, rows: DataFrame) -> tuple[int, float]:
-        """Entries of the lists, and how many pairs of different labels they make."""
+    def long_lists(self, rows: DataFrame) -> DataFrame:
+        """The lists that make many pairs of different labels per entry."""
         by_label = rows.groupBy("token", "label").agg(F.count("*").cast("double").alias("c"))
         by_list = by_label.groupBy("token").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("same"))
-        got = by_list.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
-        return int(got[0] or 0), got[1] or 0.0
+        return by_list.where((F.col("n") - F.col("same") / F.col("n")) / 2 > MEAN_PARTNERS).select("token")
 
     def scans(self, rows: DataFrame, limit: int | None) -> DataFrame:
         """Pairs of different labels that share a list; of each set ``limit`` or all of them."""
@@ -418,29 +420,45 @@ class ClassJoin:
         by_class = partners.repartition("class").sortWithinPartitions("class")
         return self.stored(task_rows(by_class, LINKS, _merge_partners(limit), 4 << 20), "scanned")
 
-    def spread(self, links: DataFrame, labels: DataFrame | None, whole: bool) -> DataFrame:
-        """Labels of the linked classes: the least label reached, in two steps or until nothing changes."""
-        both = links.union(links.select("b", "a")).distinct()
+    def follow(self, labels: DataFrame | None, links: DataFrame) -> DataFrame | None:
+        """Labels after joining what ``links`` link; classes without a row are their own label.
+
+        The links are seen as links of labels, so earlier ones need not be kept.
+        """
+        if labels is not None:
+            for end in ("a", "b"):
+                known = self.few(labels.select(F.col("class").alias(end), F.col("label").alias("to")))
+                links = links.join(known, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+        edges = self.stored(links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            return labels
+        moved = self.spread(edges)
         if labels is None:
-            labels = both.select(F.col("a").alias("class")).distinct().withColumn("label", F.col("class"))
-        else:
-            fresh = both.select(F.col("a").alias("class")).distinct().join(labels, "class", "left_anti")
-            labels = labels.union(fresh.withColumn("label", F.col("class")))
-        step = 0
+            return moved
+        to = self.few(moved.select(F.col("class").alias("label"), F.col("label").alias("to")))
+        old = labels.join(to, "label", "left").select("class", F.coalesce("to", "label").alias("label"))
+        return self.stored(old.union(moved.join(labels, "class", "left_anti")), "followed")
+
+    def spread(self, links: DataFrame) -> DataFrame:
+        """Labels of the linked classes: the least class that can be reached.
+
+        Labels are joined to rows by broadcast where they are counted to be few, as a label may have
+        a large share of all rows.
+        """
+        both = self.stored(links.union(links.select("b", "a")), "both")
+        labels = self.stored(both.select(F.col("a").alias("class")).distinct().withColumn("label", F.col("class")), "labels")
         while True:
-            step += 1
-            far = labels.withColumnsRenamed({"class": "b", "label": "far"})
+            far = self.few(labels.withColumnsRenamed({"class": "b", "label": "far"}))
             near = both.join(far, "b").groupBy("a").agg(F.min("far").alias("far")).withColumnRenamed("a", "class")
-            hooked = labels.join(near, "class", "left").select("class", "label", F.least("label", "far").alias("new"))
+            hooked = self.stored(labels.join(near, "class").select("class", "label", F.least("label", "far").alias("new")), "hooked")
             # A class whose own label's class moved on follows it; all of one label move together.
-            moved = hooked.groupBy("label").agg(F.min("new").alias("to"))
-            merged = hooked.join(moved, "label").select("class", "label", F.least("new", "to").alias("new"))
-            after = merged.select(F.col("class").alias("new"), F.col("new").alias("last"))
-            jumped = merged.join(after, "new", "left").select("class", F.least("new", "last").alias("label"), (F.least("new", "last") != F.col("label")).alias("changed"))
-            jumped = self.stored(jumped, "labels")
-            changed = not jumped.where("changed").isEmpty() if whole or step > 1 else True
+            moved = self.few(self.stored(hooked.groupBy("label").agg(F.min("new").alias("to")), "moved"))
+            merged = self.stored(hooked.join(moved, "label").select("class", "label", F.least("new", "to").alias("new")), "merged")
+            after = self.few(merged.select(F.col("class").alias("new"), F.col("new").alias("last")))
+            last = F.least("new", "last")
+            jumped = self.stored(merged.join(after, "new", "left").select("class", last.alias("label"), (last != F.col("label")).alias("changed")), "labels")
             labels = jumped.select("class", "label")
-            if not changed or (not whole and step == 2):
+            if jumped.where("changed").isEmpty():
                 return labels
 
 
@@ -481,25 +499,32 @@ def components(
     small = join.stored(join.small_pairs(signed).distinct(), "small-pairs")
     join.stand_for(signed, lists, small)
 
-    links = join.checked(small)
-    labels = None if links.isEmpty() else join.spread(links, None, whole=False)
-    for limit in (*ROUNDS, None):
-        rows = join.labelled(lists, labels)
-        entries, open_pairs = join.open_pairs(rows)
-        if open_pairs <= MEAN_PARTNERS * entries:
-            limit = None
-        found = join.checked(join.scans(rows, limit))
-        links = join.stored(links.union(found).distinct(), "all-links")
-        if limit is None:
+    labels = join.follow(None, join.checked(small))
+    for limit in ROUNDS:
+        rows = join.stored(join.labelled(lists, labels), "open")
+        if rows.isEmpty():
             break
-        labels = join.spread(links, labels, whole=False)
+        if limit == 1:
+            scanned, long = join.scans(rows, 1), None
+        elif limit is None:
+            scanned, long = join.scans(rows, None), None
+        else:
+            long = join.stored(join.long_lists(rows), "long-lists")
+            scanned = join.scans(rows.join(join.few(long), "token", "left_anti"), None)
+            if not long.isEmpty():
+                scanned = scanned.union(join.scans(rows.join(join.few(long), "token", "left_semi"), limit))
+        labels = join.follow(labels, join.checked(scanned))
+        if long is not None:
+            if long.isEmpty():
+                break
+            # Of all others every pair has been seen.
+            lists = join.stored(lists.join(join.few(long), "token", "left_semi"), "lists")
 
     result = signed.select("doc_id", "n", "class")
-    if links.isEmpty():
+    if labels is None:
         result = result.withColumn("label", F.col("class"))
     else:
-        labels = join.spread(links, labels, whole=True)
-        result = result.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+        result = result.join(join.few(labels), "class", "left").withColumn("label", F.coalesce("label", "class"))
     # The empty set's class holds unrelated documents; they keep their own ids.
     least = result.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     return result.join(least, "label", "left").select(

@@ -249,7 +249,9 @@ def read_archives(spark: SparkSession, manifest: DataFrame, folder: str, chunk_b
                     yield pa.RecordBatch.from_pylist(held, schema=arrow)
 
     number = max(1, manifest.count())
-    return manifest.select("name").repartition(number).mapInArrow(run, schema)
+    names = manifest.select("name")
+    # One archive is read where its name is.
+    return (names.repartition(number) if number > 1 else names).mapInArrow(run, schema)
 
 
 def round_trip(

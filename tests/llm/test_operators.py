@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 
@@ -146,7 +147,26 @@ def components(sets, links):
     return {k: find(k) for k in sets}
 
 
-@pytest.mark.parametrize("rounds, partners", [(setjoin.ROUNDS, 8), ((1, 2), 0)])
+def test_near_copies_make_few_pairs(spark, run_dir):
+    """A group of near copies costs a few pairs per member, not all its pairs, and is one component."""
+    rng = random.Random(12)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(700):
+        words = list(base)
+        words[rng.randrange(120)] = f"own{k}"
+        texts.append(" ".join(words))
+    texts += [" ".join(f"x{rng.randrange(10**6)}" for _ in range(60)) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = setjoin.components(docs, run_dir).collect()
+    assert {r.component_id for r in got if r.doc_id < 700} == {0}
+    assert all(r.component_id == r.doc_id for r in got if r.doc_id >= 700)
+    tables = [f.name for f in os.scandir(run_dir) if f.name.endswith("-scanned")]
+    pairs = sum(spark.read.schema(setjoin.LINKS).parquet(f"{run_dir}/{t}").count() for t in tables)
+    assert 699 <= pairs <= 3 * 700
+
+
+@pytest.mark.parametrize("rounds, partners", [(setjoin.ROUNDS, 8), ((1, 2, None), 0), ((1, None), 0)])
 def test_near_duplicates(docs, texts, empty, run_dir, monkeypatch, rounds, partners):
     monkeypatch.setattr(setjoin, "ROUNDS", rounds)
     monkeypatch.setattr(setjoin, "MEAN_PARTNERS", partners)
