@@ -43,7 +43,7 @@ HEAVY_MAX = 1_000_000  # entries of the broadcast order of frequent shingles; ot
 BROADCAST_IDS = 500_000  # ids that may be broadcast; more are joined by shuffling
 MAX_SMALL = 48
 LIST_COST = 8.0  # what a list entry costs in rows of an enumerated subset: counting, scanning, checking
-ROUNDS = (1, 8, 64, None)  # partners that a scan takes up of each set in long lists
+ROUNDS = (1, 8, None)  # partners that a scan takes up of each set in long lists
 MEAN_PARTNERS = 8  # open pairs per entry up to which a list is not long, once near copies are contracted
 SCAN_BLOCK = 1024
 HELD = 8_000_000
@@ -396,7 +396,6 @@ class ClassJoin:
         """Entries with labels, of lists that still have several labels."""
         label = F.col("class") if labels is None else F.coalesce("label", "class")
         rows = (lists if labels is None else lists.join(labels, "class", "left")).select("token", "class", "n", "at", label.alias("label"))
-        rows = self.stored(rows, "labelled") if labels is not None else rows
         open_ = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("token")
         return rows.join(open_, "token", "left_semi")
 
@@ -426,35 +425,39 @@ class ClassJoin:
         The links are seen as links of labels, so earlier ones need not be kept.
         """
         if labels is not None:
+            known = self.few(labels)
             for end in ("a", "b"):
-                known = self.few(labels.select(F.col("class").alias(end), F.col("label").alias("to")))
-                links = links.join(known, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+                links = links.join(known.select(F.col("class").alias(end), F.col("label").alias("to")), end, "left")
+                links = links.withColumn(end, F.coalesce("to", end)).drop("to")
         edges = self.stored(links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
-        if edges.isEmpty():
+        n = edges.count()
+        if not n:
             return labels
-        moved = self.spread(edges)
+        # As many classes as ends at most; beyond the bound Spark joins them by shuffling.
+        share = F.broadcast if 2 * n <= BROADCAST_IDS else lambda ids: ids
+        moved = self.spread(edges, share)
         if labels is None:
             return moved
-        to = self.few(moved.select(F.col("class").alias("label"), F.col("label").alias("to")))
+        to = share(moved.select(F.col("class").alias("label"), F.col("label").alias("to")))
         old = labels.join(to, "label", "left").select("class", F.coalesce("to", "label").alias("label"))
         return self.stored(old.union(moved.join(labels, "class", "left_anti")), "followed")
 
-    def spread(self, links: DataFrame) -> DataFrame:
+    def spread(self, links: DataFrame, share) -> DataFrame:
         """Labels of the linked classes: the least class that can be reached.
 
-        Labels are joined to rows by broadcast where they are counted to be few, as a label may have
-        a large share of all rows.
+        Labels go to rows through ``share``, by broadcast where they are counted to be few, as a label
+        may have a large share of all rows.
         """
-        both = self.stored(links.union(links.select("b", "a")), "both")
-        labels = self.stored(both.select(F.col("a").alias("class")).distinct().withColumn("label", F.col("class")), "labels")
+        both = links.union(links.select("b", "a"))
+        labels = both.select(F.col("a").alias("class")).distinct().withColumn("label", F.col("class"))
         while True:
-            far = self.few(labels.withColumnsRenamed({"class": "b", "label": "far"}))
-            near = both.join(far, "b").groupBy("a").agg(F.min("far").alias("far")).withColumnRenamed("a", "class")
+            far = share(labels.withColumnsRenamed({"class": "b", "label": "far"}))
+            near = share(both.join(far, "b").groupBy("a").agg(F.min("far").alias("far")).withColumnRenamed("a", "class"))
             hooked = self.stored(labels.join(near, "class").select("class", "label", F.least("label", "far").alias("new")), "hooked")
             # A class whose own label's class moved on follows it; all of one label move together.
-            moved = self.few(self.stored(hooked.groupBy("label").agg(F.min("new").alias("to")), "moved"))
-            merged = self.stored(hooked.join(moved, "label").select("class", "label", F.least("new", "to").alias("new")), "merged")
-            after = self.few(merged.select(F.col("class").alias("new"), F.col("new").alias("last")))
+            moved = share(hooked.groupBy("label").agg(F.min("new").alias("to")))
+            merged = hooked.join(moved, "label").select("class", "label", F.least("new", "to").alias("new"))
+            after = share(merged.select(F.col("class").alias("new"), F.col("new").alias("last")))
             last = F.least("new", "last")
             jumped = self.stored(merged.join(after, "new", "left").select("class", last.alias("label"), (last != F.col("label")).alias("changed")), "labels")
             labels = jumped.select("class", "label")
