@@ -43,7 +43,7 @@ HEAVY_MAX = 1_000_000  # entries of the broadcast order of frequent shingles; ot
 BROADCAST_IDS = 500_000  # ids that may be broadcast; more are joined by shuffling
 MAX_SMALL = 48
 LIST_COST = 8.0  # what a list entry costs in rows of an enumerated subset: counting, scanning, checking
-ROUNDS = (1, 8, None)  # partners that a scan takes up of each set in long lists
+ROUNDS = (1, 8, 32, None)  # partners that a scan takes up of each set in long lists
 MEAN_PARTNERS = 8  # open pairs per entry up to which a list is not long, once near copies are contracted
 SCAN_BLOCK = 1024
 HELD = 8_000_000
