@@ -79,6 +79,16 @@ def test_tokens_of_odd_texts():
         assert tokenizer.encode_all([text])[0] == tokenizer.encode(text)
 
 
+def test_tokens_of_new_words_together():
+    from ledgerline.llm.tokens import WordTokenizer
+
+    tokenizer, rng = WordTokenizer(TOKENIZER), random.Random(2)
+    parts = [*"aBé\u0301ΣςİßǅÅ\u212b1²½'_\x00\x01.,!文\u0958\u200d", "\u3000", "\x85", " ", "\t", "'s", "<|endoftext|>", "<|ENDOFTEXT|>", "###"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(9000)]
+    for _ in range(2):  # new words, then words from the cache
+        assert tokenizer.encode_all([None, *texts]) == [b"", *map(tokenizer.encode, texts)]
+
+
 def test_chat_round_trip(spark):
     odd = ["\\### Assistant: </turn> ok", "####", "</turn>\n### user: x", "\\", "", None, "a" * 5000, "é\\\\##</"]
     rows = [(1, k, r, t) for k, (r, t) in enumerate(zip(["system", "user", "assistant", "assistant", "we:ird\n", None, "user", "assistant"], odd))]
