@@ -120,14 +120,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """
     slim = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).cast("string").alias("text")).where("id is not null and text is not null")
     known = labels.select(F.col(quoted(id_col)).alias("id"), *[F.col(t).cast("int").alias(t) for t in TARGETS]).dropna()
+    having = known.join(slim.select("id"), "id", "left_semi").persist()
     texts, marks = [], []
     for classes in known.select(*TARGETS).distinct().orderBy(*TARGETS).collect():
-        part = known.where(" and ".join(f"{t} = {classes[t]}" for t in TARGETS))
-        # Twice as many ids as wanted, as some may have no document.
-        chosen = part.orderBy(F.xxhash64("id"), "id").limit(2 * per_class)
+        part = having.where(" and ".join(f"{t} = {classes[t]}" for t in TARGETS))
+        chosen = part.orderBy(F.xxhash64("id"), "id").limit(per_class)
         for r in slim.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id"), "id").limit(per_class).collect():
             texts.append(r["text"])
             marks.append([r[t] for t in TARGETS])
+    having.unpersist()
     y = np.array(marks, dtype=float).reshape(-1, len(TARGETS))
     if not texts:
         weights = np.zeros((len(TARGETS), SHAPES))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import chat, fmindex, langid, lm, merkle, packing, pii, quality, rules, setjoin, topk, warc, whitening
+from ledgerline.llm.oracles import CHAT_SQL, DECONTAMINATION_SQL, TOP_K_SQL, WARC_SQL
 from ledgerline.session import new_run_dir, pin_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +53,7 @@ def op1(spark, sf_dir):
     )
 
 
-@query("op3_decontamination")
+@query("op3_decontamination", DECONTAMINATION_SQL)
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = fmindex.decontaminate(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
@@ -63,11 +64,10 @@ def op3(spark, sf_dir):
         F.size("result.items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.transform("result.items", lambda i: i.cast("string")), ","), 256).alias("items_sha256"),
         (F.col("result.n_hit") > 0).alias("contaminated"),
-        F.col("result.spans").alias("spans"),
     )
 
 
-@query("op2_chat_windows")
+@query("op2_chat_windows", CHAT_SQL)
 def op2(spark, sf_dir):
     says = "\\### Assistant: </turn> ok"
     extra = spark.sql("select -7L as conv_id, t.turn, t.role, t.text from values (0L, 'user', :says), (1L, 'assistant', :says) as t(turn, role, text)", args={"says": says})
@@ -84,7 +84,7 @@ def op2(spark, sf_dir):
     )
 
 
-@query("op5_warc")
+@query("op5_warc", WARC_SQL)
 def op5(spark, sf_dir):
     pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
     chunks = warc.round_trip(pages, new_run_dir(spark, "warc"))
@@ -106,7 +106,7 @@ def op7(spark, sf_dir):
     return quality.score(docs, model, F.col("source"), path, new_run_dir(spark, "quality"))
 
 
-@query("op8_topk")
+@query("op8_topk", TOP_K_SQL)
 def op8(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return topk.top_k(rows, F.col("id") % 50 == 0, new_run_dir(spark, "topk"))

@@ -282,6 +282,10 @@ def test_quality(spark, empty, run_dir):
     wrong = [k for k, q, t in labels if got[k].keep != (q == 1 and t == 0)]
     assert len(wrong) < 12
     assert score(empty, run_dir + "e").count() == 0
+    # Labels without a document take no place in the sample.
+    gone = [(1000 * j + k, q, t) for j in range(10, 30) for k, q, t in labels]
+    few = quality.fit(docs, marks, per_class=30)
+    assert np.allclose(few.weights, quality.fit(docs, marks.union(spark.createDataFrame(gone, marks.schema)), per_class=30).weights)
     assert quality.score(docs, quality.fit(docs, marks.limit(0)), F.col("source"), F.col("source"), run_dir + "n").count() == 402
 
 
@@ -338,6 +342,12 @@ def test_pipeline_keeps_a_rare_language(spark, run_dir):
     assert kept == {k: lang for k, _, lang in rows} | {100: "fi"}
 
 
+def test_pipeline_without_languages_keeps_all(spark, docs):
+    unnamed = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = corpus_pipeline.language(spark, unnamed, "")
+    assert kept.columns == unnamed.columns and kept.count() == unnamed.count()
+
+
 def test_strict_spans_equal_the_patterns():
     rng = random.Random(4)
     signs = list("ab1@.-+ ()%") + ["@x.y", "1.2.3.4", "+1 (202) 555-0100", "4111 1111 1111 1111", "256.1.1.1", "é"]
