@@ -29,9 +29,13 @@ def _unpacked(df: DataFrame, columns: list[str], **changed) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents in a learned language; fills in the language where it is null."""
+    """Keeps documents in a learned language; fills in the language where it is null. Keeps all if none is learned."""
     prepare(spark)
-    found = langid.identify(docs, langid.train(docs))
+    model = langid.train(docs)
+    if not model.languages:
+        # No document names its language, so there is nothing to reject by.
+        return docs
+    found = langid.identify(docs, model)
     kept = found.where((F.col("result.lang_pred") != langid.UNKNOWN) & (F.col("result.score") >= MIN_LANGUAGE))
     return _unpacked(kept, docs.columns, lang=F.coalesce("row.lang", "result.lang_pred"))
 
