@@ -323,6 +323,42 @@ def test_top_k_of_repeated_ids(spark, run_dir):
     assert got == want
 
 
+def _best(ids, vectors, query_id, query, k):
+    scores = {}
+    for vec_id, score in zip(ids.tolist(), (vectors @ query).tolist(), strict=True):
+        if vec_id != query_id:
+            scores[vec_id] = max(score, scores.get(vec_id, score))
+    return sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k]
+
+
+@pytest.mark.parametrize("dense", [32, 0], ids=["products", "lists"])
+@pytest.mark.parametrize(
+    ("n", "dims", "top", "filled"),
+    [(1, 3, 5, 1), (7, 5, 3, 1), (300, 9, 2, 1), (400, 70, 4000, 1), (400, 40, 90, 0.05), (200, 20, 1, 0.3), (300, 3, 2**27, 1), (50, 4, 9, 0)],
+)
+def test_top_k_blocks_equal_brute_force(monkeypatch, n, dims, top, filled, dense):
+    monkeypatch.setattr(topk, "DENSE", dense)
+    rng = np.random.default_rng(n + dims)
+    vectors = rng.integers(-top, top + 1, (n, dims)) * (rng.random((n, dims)) < filled)
+    for ids in (np.arange(n), rng.integers(0, n // 2 + 1, n)):
+        q, found, score, share = topk.search_block(topk.build_block(ids, vectors, 5), ids[:70], vectors[:70], 5)
+        for k in range(len(ids[:70])):
+            assert list(zip(found[q == k].tolist(), score[q == k].tolist(), strict=True)) == _best(ids, vectors, ids[k], vectors[k], 5)
+        assert ((share >= 0) & (share <= 1)).all()
+
+
+def test_top_k_stops_by_proof_where_neighbours_are_close():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(200, 32))
+    vectors = np.repeat(centres, 10, axis=0) + rng.normal(scale=0.05, size=(2000, 32))
+    vectors = np.floor(256 * vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.int64)
+    ids = np.arange(2000)
+    q, found, score, share = topk.search_block(topk.build_block(ids, vectors, 5), ids[::20], vectors[::20], 5)
+    assert share.mean() < 0.6
+    for k, at in enumerate(ids[::20]):
+        assert list(zip(found[q == k].tolist(), score[q == k].tolist(), strict=True)) == _best(ids, vectors, at, vectors[at], 5)
+
+
 def test_language(spark, empty):
     rows = [(k, f"{w} garden stone tree {w}", "en") for k, w in enumerate("the of and with".split())]
     rows += [(k + 10, f"{w} straße größe und {w}", "de") for k, w in enumerate("der die das ist".split())]
