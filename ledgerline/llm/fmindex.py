@@ -7,7 +7,8 @@ searched backward together by ranks; occurrences are located by walking to sampl
 overlapping ones merge to removal spans.
 
 The benchmark is the stated query set. It is broadcast in blocks of at most ``block_words`` words,
-so the broadcast has a fixed bound; each further block is one more pass over the documents.
+so the broadcast has a fixed bound; each further block is one more pass over the documents, which are written
+between passes.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from ledgerline.llm.blocks import blocks, packed, quoted
+from ledgerline.session import new_run_dir
 
 SHARD_BYTES = 16 << 20
 BLOCK_WORDS = 4_000_000
@@ -251,7 +253,8 @@ def item_blocks(benchmark: DataFrame, block_words: int) -> list[DataFrame]:
     if parts == 1:
         return [benchmark]
     part = F.pmod(F.xxhash64("item", "text"), F.lit(parts))
-    return [benchmark.where(part == k) for k in range(parts)]
+    filled = sorted(r["part"] for r in benchmark.select(part.alias("part")).distinct().collect())
+    return [benchmark.where(part == k) for k in filled]
 
 
 def decontaminate(
@@ -263,6 +266,7 @@ def decontaminate(
     window: int = 10,
     block_words: int = BLOCK_WORDS,
     out: str = "result",
+    folder: str | None = None,
 ) -> DataFrame:
     """Rows of ``docs`` as struct ``row`` beside a struct ``out`` of what was found in their text.
 
@@ -272,6 +276,8 @@ def decontaminate(
     words of a shorter one. Null and empty texts have no words; items without words have no windows;
     an item with a null id hits words but is not listed; repeated items count once. Repeated
     documents are separate rows; empty tables give no rows or no hits; other columns are carried along.
+    The benchmark is searched in blocks of about ``block_words`` words; between them, rows and what was found
+    are written below ``folder`` (a new one by default).
     """
     items = benchmark.select(
         F.col(quoted(item_col)).alias("item"), F.col(quoted(item_text_col)).cast("string").alias("text")
@@ -289,6 +295,12 @@ def decontaminate(
         kept = [found.schema[c] for c in names[:-1]]
         schema = StructType([*kept, StructField(names[-1], result)])
         found = found.mapInArrow(_shard_search(shared, uuid.uuid4().hex, window, last, to_arrow_schema(schema)), schema)
+        if not last:
+            # Written before the next block is searched, so that a task holds the phrases of one block.
+            folder = folder or new_run_dir(spark, "decontamination")
+            found.write.mode("overwrite").parquet(f"{folder}/pass{k % 2}")
+            found = spark.read.schema(schema).parquet(f"{folder}/pass{k % 2}")
+            shared.destroy()
     return found
 
 

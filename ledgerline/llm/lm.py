@@ -330,21 +330,23 @@ def _score(weight: np.ndarray, total_tokens: int, types: int, end_level: int):
     return run
 
 
-def model_parts(model: DataFrame, shards: int, limit: int):
-    """The model's shards in parts of at most ``limit`` bytes (one shard at least), read part by part."""
-    sizes = [(r["shard"], r["bytes"]) for r in model.select("shard", "bytes").orderBy("shard").collect()]
-    groups, size = [[]], 0
-    for shard, n in sizes:
-        if groups[-1] and size + n > limit:
-            groups.append([])
+def model_groups(model: DataFrame, limit: int) -> list[tuple[int, int]]:
+    """First and last shard of each part of the model, a part having at most ``limit`` bytes (one shard at least)."""
+    groups, size = [], 0
+    for r in model.select("shard", "bytes").orderBy("shard").collect():
+        if not groups or size + r["bytes"] > limit:
+            groups.append((r["shard"], r["shard"]))
             size = 0
-        groups[-1].append(shard)
-        size += n
-    for group in groups:
-        rows = model.where(F.col("shard").between(group[0], group[-1])) if group else model.limit(0)
-        got = sorted((r.asDict() for r in rows.toLocalIterator()), key=lambda r: r["shard"])
-        empty = {"shard": 0, "words": b"", "word_counts": b"", "filter": b""}
-        yield ModelPart(got or [empty], shards)
+        groups[-1] = (groups[-1][0], r["shard"])
+        size += r["bytes"]
+    return groups or [(0, 0)]
+
+
+def model_part(model: DataFrame, group: tuple[int, int], shards: int) -> ModelPart:
+    rows = model.where(F.col("shard").between(*group))
+    got = sorted((r.asDict() for r in rows.toLocalIterator()), key=lambda r: r["shard"])
+    empty = {"shard": 0, "words": b"", "word_counts": b"", "filter": b""}
+    return ModelPart(got or [empty], shards)
 
 
 def score(
@@ -385,13 +387,18 @@ def score(
 
     nothing = F.lit(None).cast("binary")
     found = blocks.select("*", nothing.alias("count"), nothing.alias("single"), nothing.alias("pair"))
-    parts = list(_shared(spark, model_parts(model, shards, broadcast_bytes)))
-    end_level = max(level for _, level in parts)
-    for k, (part, _) in enumerate(parts):
-        last = k == len(parts) - 1
+    groups, end_level = model_groups(model, broadcast_bytes), 0
+    for k, group in enumerate(groups):
+        part = model_part(model, group, shards)
+        end_level = max(end_level, int(part.probe(np.array([END]))[0]))
+        shared = spark.sparkContext.broadcast(part)
+        last = k == len(groups) - 1
         schema = SCORED if last else BLOCKS + ", count binary, single binary, pair binary"
-        found = task_rows(found, schema.format(id=id_type), _probe(part, total, types, last), 1)
-    scored = stored(found, "scored")
+        probed = task_rows(found, schema.format(id=id_type), _probe(shared, total, types, last), 1)
+        # Written before the next part is read, so that a task and the driver hold one part at a time.
+        found = stored(probed, "scored" if last else f"pass{k % 2}")
+        shared.destroy()
+    scored = found
     votes = task_rows(scored, "level bigint, pair double, all double", _vote(total, end_level), 1)
     weight = np.zeros(LEVELS + 1)
     for r in votes.groupBy("level").agg(F.sum("pair").alias("pair"), F.sum("all").alias("all")).collect():
@@ -399,9 +406,3 @@ def score(
     schema = f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     scores = task_rows(scored, schema, _score(weight, total, types, end_level), 1)
     return scores.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
-
-
-def _shared(spark, parts):
-    """Broadcast each part as it is read; beside it the level that it has for END."""
-    for part in parts:
-        yield spark.sparkContext.broadcast(part), int(part.probe(np.array([END]))[0])

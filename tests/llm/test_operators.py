@@ -120,7 +120,9 @@ def test_decontamination(spark, docs, texts, empty, block_words):
         words = find(text)
         for k in range(max(1, len(words) - 9) if words else 0):
             owners[tuple(words[k : k + 10])].add(item)
-    for r in fmindex.decontaminate(docs, bench, block_words=block_words).collect():
+    found = fmindex.decontaminate(docs, bench, block_words=block_words)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    for r in found.collect():
         words, hit, found = find(r.row.text), set(), set()
         for w, own in owners.items():
             for k in range(len(words) - len(w) + 1):
