@@ -9,7 +9,7 @@ from ledgerline.operators import book, cdc, depth
 from ledgerline.operators import quality as q
 from ledgerline.plans import inputs, marts
 from ledgerline.plans import sql as s
-from ledgerline.plans.queries_log import SLICES, _slice, ship
+from ledgerline.plans.queries_log import SLICES, ship, staged
 from ledgerline.plans.registry import query
 from ledgerline.session import new_run_dir
 from ledgerline.sources.log import file_log
@@ -94,14 +94,11 @@ def book_version_guard(spark, sf_dir):
         CURRENT["orderbook_levels"],
         guard=VERSION,
     )
-    log = inputs.book_log(spark, sf_dir).withColumn("slice", _slice()).persist()
-    try:
-        for batch_id, n in enumerate(reversed(range(SLICES))):
-            table.apply(_changes(log.where(F.col("slice") == n)), batch_id, VERSION)
-            if batch_id == 2:
-                table.compact(spark, batch_id)
-    finally:
-        log.unpersist()
+    log = staged(inputs.book_log(spark, sf_dir), new_run_dir(spark, "log"))
+    for batch_id, n in enumerate(reversed(range(SLICES))):
+        table.apply(_changes(log.where(F.col("slice") == n)), batch_id, VERSION)
+        if batch_id == 2:
+            table.compact(spark, batch_id)
     return table.current(spark)
 
 

@@ -7,14 +7,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.schemas import PAYLOADS
+from ledgerline.functions.schemas import LOG, PAYLOADS
 from ledgerline.operators import cdc
 from ledgerline.operators.latest import first_ranked
 from ledgerline.plans import inputs
 from ledgerline.plans import sql as s
 from ledgerline.plans.gold import rebuild_trades
 from ledgerline.plans.registry import query
-from ledgerline.session import new_run_dir
+from ledgerline.session import new_run_dir, settings
 from ledgerline.sources.log import file_log, from_offset
 from ledgerline.streaming.current import CurrentState
 from ledgerline.streaming.landing import read_landing, write_landing
@@ -22,6 +22,7 @@ from ledgerline.streaming.run import run_available
 
 SLICES = 5
 _LAST_DAY = 31
+_RECORD = ["topic", "partition", "offset", "value"]
 
 
 def _slice():
@@ -29,20 +30,27 @@ def _slice():
     return F.floor((F.dayofmonth("ts") - 1) * SLICES / _LAST_DAY)
 
 
-def ship(log: DataFrame, path: str):
-    """Append a log to a folder slice by slice, yielding after each one.
+def staged(log: DataFrame, path: str) -> DataFrame:
+    """A log and its ``slice`` on files with a partition per slice, computed once.
 
-    The log is cached while its slices are written, as each is a filter over the same rows. A column
-    ``slice`` says which one a record comes in; without it the day of the month does.
+    A cache would keep what a task made of its split as one block, many times the size of the split. A
+    column ``slice`` says which one a record comes in; without it the day of the month does.
     """
-    rows = (log if "slice" in log.columns else log.withColumn("slice", _slice())).persist()
-    try:
-        for n in range(SLICES):
-            part = rows.where(F.col("slice") == n)
-            part.select("topic", "partition", "offset", "value").write.mode("append").parquet(path)
-            yield n
-    finally:
-        rows.unpersist()
+    spark = log.sparkSession
+    rows = log if "slice" in log.columns else log.withColumn("slice", _slice())
+    rows = rows.where(F.col("slice").between(0, SLICES - 1)).select(*_RECORD, "slice")
+    # A task keeps a file open per slice and so need not sort its records.
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(SLICES)}):
+        rows.write.partitionBy("slice").parquet(path)
+    return spark.read.schema(f"{LOG}, slice int").parquet(path)
+
+
+def ship(log: DataFrame, path: str):
+    """Append a log to a folder slice by slice, yielding after each one; its slices lie staged beside it."""
+    rows = staged(log, f"{path}_staged")
+    for n in range(SLICES):
+        rows.where(F.col("slice") == n).select(*_RECORD).write.mode("append").parquet(path)
+        yield n
 
 
 def _landed(spark, path: str) -> DataFrame:

@@ -50,6 +50,19 @@ def file_log(spark: SparkSession, path: str, max_files_per_trigger: int | None =
     return reader.parquet(path)
 
 
+def in_even_parts(records: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """Records in partitions of at most about ``most`` bytes of ``value``, so that each can be cached as one block.
+
+    A split of a compressed file can hold many times its size. The records are dealt anew only where a
+    partition is larger; one row reaches the driver.
+    """
+    parts = records.groupBy(F.spark_partition_id().alias("part")).agg(F.sum(F.octet_length("value")).alias("size"))
+    found = parts.agg(F.max("size").alias("largest"), F.sum("size").alias("total")).first()
+    if (found["largest"] or 0) <= most:
+        return records
+    return records.repartition(max(-(-found["total"] // most), records.sparkSession.sparkContext.defaultParallelism))
+
+
 def from_offset(log: DataFrame, start) -> DataFrame:
     """Replay of a stored log from just after ``start`` (a number or a scalar subquery)."""
     return log.where(F.col("offset") > start)

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.functions.schemas import CURRENT, KEYS
 from ledgerline.operators.cdc import book_changes, decode, dimension_changes, trade_rows
-from ledgerline.sources.log import TOPIC_PREFIX
+from ledgerline.sources.log import TOPIC_PREFIX, in_even_parts
 from ledgerline.streaming.tables import AppendedTable, MergedTable, batch_number
 
 TRIGGER = {"processingTime": "15 seconds"}
@@ -76,11 +76,13 @@ def start_current(
     topic_prefix: str = TOPIC_PREFIX,
     name: str = "current",
 ) -> StreamingQuery:
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        state.write_batch(decode(in_even_parts(batch), topic_prefix), batch_id)
+
     return (
-        decode(log, topic_prefix)
-        .writeStream.queryName(name)
+        log.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or TRIGGER))
-        .foreachBatch(state.write_batch)
+        .foreachBatch(fold)
         .start()
     )

@@ -26,7 +26,7 @@ from ledgerline.operators import cdc
 from ledgerline.operators.latest import latest_per_key
 from ledgerline.operators.merge import fold_changes, new_rows
 from ledgerline.session import settings
-from ledgerline.sources.log import TOPIC_PREFIX
+from ledgerline.sources.log import TOPIC_PREFIX, in_even_parts
 
 ORDERS = {
     "orderbook_levels": ["last_update_id", "kafka_offset"],
@@ -162,12 +162,15 @@ def start_lake(
     log: DataFrame, lake: Lake, checkpoint: str, trigger: dict | None = None, topic_prefix: str = TOPIC_PREFIX, name: str = "lake"
 ) -> StreamingQuery:
     """Fold a change log into the lake's current-state tables."""
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        lake.write_batch(cdc.decode(in_even_parts(batch), topic_prefix), batch_id)
+
     return (
-        cdc.decode(log, topic_prefix)
-        .writeStream.queryName(name)
+        log.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "15 seconds"}))
-        .foreachBatch(lake.write_batch)
+        .foreachBatch(fold)
         .start()
     )
 

@@ -12,7 +12,8 @@ from ledgerline.functions.ddl import create_tables, table_ddl
 from ledgerline.functions.schemas import LOG
 from ledgerline.operators import cdc
 from ledgerline.operators.feed import flatten_symbol_info, parse_trades, resolve_symbols
-from ledgerline.sources.log import from_offset, kafka_log
+from ledgerline.plans.queries_log import SLICES, ship
+from ledgerline.sources.log import from_offset, in_even_parts, kafka_log
 
 LEVEL = {
     "symbol_id": 1,
@@ -243,3 +244,24 @@ def test_kafka_source_asks_for_its_connector(spark):
     """The connector is not on this classpath; everything up to loading it is in order."""
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         kafka_log(spark, "broker:9092", "shop.", "latest", 5)
+
+
+def test_a_shipped_log_is_not_cached_and_comes_whole(spark, run_dir):
+    made = log(spark, *[f"v{i}" for i in range(40)]).withColumn("slice", F.col("offset") % 6)
+    kept, seen = spark.sparkContext._jsc.getPersistentRDDs().size(), []
+    for n in ship(made, run_dir):
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+        seen.append(spark.read.schema(LOG).parquet(run_dir).count())
+    assert seen == [sum(i % 6 <= n for i in range(40)) for n in range(SLICES)]
+    assert rows(spark.read.schema(LOG).parquet(run_dir)) == rows(made.where("slice < 5").drop("slice"))
+
+
+def test_a_large_split_of_a_log_is_dealt_out(spark):
+    values = [f"{i:0100}" for i in range(2000)] + [None]
+    made = log(spark, *values).coalesce(1)
+    assert in_even_parts(made).rdd.getNumPartitions() == 1
+    dealt = in_even_parts(made, most=20_000)
+    sizes = [sum(len(r.value or "") for r in part) for part in dealt.rdd.glom().collect()]
+    assert len(sizes) == 10 and max(sizes) < 25_000
+    assert rows(dealt) == rows(made)
+    assert in_even_parts(made.limit(0)).count() == 0
