@@ -8,7 +8,7 @@ from unicodedata import is_normalized
 
 import numpy as np
 
-CACHE_WORDS = 250_000  # kept from block to block, some 50 MB
+CACHE_WORDS = 250_000  # of each of the two caches kept from block to block, some 50 MB
 _PUNCTUATION = b".,;:!?"
 _SEPARATOR = "\x01"
 _TOGETHER = 4096  # words of one call
@@ -18,7 +18,8 @@ class WordTokenizer:
     """Ids of texts for tokenizers that drop white space and never join pieces across it.
 
     Such a tokenizer gives a text the ids of its words one after the other. Most words of a corpus
-    repeat, so their ids come from a cache of bounded size. New words are encoded many in one call:
+    repeat, so their ids come from two caches of bounded size: a full one is kept as ``before`` while the
+    next fills, and words met again move over, so common words stay. New words are encoded many in one call:
     words of letters only, with or without closing punctuation, are told apart by the end-of-word
     mark, others by a separator between them. Words that normalising would not change skip it.
     """
@@ -35,6 +36,7 @@ class WordTokenizer:
         self.ends[[i for token, i in vocabulary.items() if token.endswith(end_of_word)]] = True
         self.separator = self.ids(self.encoder, _SEPARATOR)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def ids(self, encoder, text: str) -> np.ndarray:
         return np.array(encoder.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -79,14 +81,18 @@ class WordTokenizer:
         others, folded_others = [], []
         for word in words:
             base = word.rstrip(_PUNCTUATION)
-            text = base.decode()
-            lower = text.lower()
-            # Letters that normalising turns into letters and marks are not one piece.
-            if lower.isalpha() and text.isalpha() and is_normalized("NFC", text):
+            if base.isalpha():  # of bytes: ASCII letters only
+                letters, low = True, base.islower()
+            else:
+                text = base.decode()
+                lower = text.lower()
+                # Letters that normalising turns into letters and marks are not one piece.
+                letters, low = lower.isalpha() and text.isalpha() and is_normalized("NFC", text), text == lower
+            if letters:
                 if len(base) != len(word):
                     forms.append((word, base))
                 if base not in known:
-                    (same if text == lower else folded).add(base)
+                    (same if low else folded).add(base)
             else:
                 text = word.decode()
                 (others if text == text.lower() and is_normalized("NFC", text) else folded_others).append(word)
@@ -101,7 +107,7 @@ class WordTokenizer:
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers; null counts as empty."""
         if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+            self.before, self.known = self.known, {}
         split = []
         for text in texts:
             text = text or ""
@@ -113,7 +119,10 @@ class WordTokenizer:
             ):
                 data = lowered
             split.append(data.split())
-        self.learn(set().union(*split).difference(self.known))
+        new = set().union(*split).difference(self.known)
+        again = new.intersection(self.before)
+        self.known.update((word, self.before[word]) for word in again)
+        self.learn(new - again)
         find = self.known.__getitem__
         return [b"".join(map(find, words)) for words in split]
 

@@ -79,6 +79,20 @@ def test_tokens_of_odd_texts():
         assert tokenizer.encode_all([text])[0] == tokenizer.encode(text)
 
 
+def test_words_met_again_outlive_a_full_cache(monkeypatch):
+    from ledgerline.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 3)
+    tokenizer, learned = tokens.WordTokenizer(TOKENIZER), []
+    learn = tokenizer.learn
+    monkeypatch.setattr(tokenizer, "learn", lambda words: (learned.extend(words), learn(words)))
+    for k in range(6):
+        text = f"common Words, new{k} other{k} third{k}"
+        assert tokenizer.encode_all([text]) == [tokenizer.encode(text)]
+    assert learned.count(b"common") == 1 and learned.count(b"words,") == 1 and len(learned) == 2 + 3 * 6
+    assert len(tokenizer.known) + len(tokenizer.before) < 20
+
+
 def test_tokens_of_new_words_together():
     from ledgerline.llm.tokens import WordTokenizer
 
