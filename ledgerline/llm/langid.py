@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ MAX_SLOTS = 1 << 22
 SHARE = 0.15  # a language contains an n-gram if it uses it at this share of the keenest language's rate
 WORD_BITS = 62
 HELD = 1_000_000
+TEXT_BLOCK = 512 << 10  # bytes of texts cut up at a time; n-grams and slots take some eighty times as much
 UNKNOWN = "und"
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _letters: list[np.ndarray] = []
@@ -140,7 +142,7 @@ def _slots(slots: int, words: int):
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_slots: int = MAX_SLOTS) -> LanguageFilter:
     """The filter of all rows with a text and a language."""
     slim = docs.select(F.col(quoted(text_col)).cast("string").alias("text"), F.col(quoted(lang_col)).cast("string").alias("lang"))
-    partial = task_rows(slim.where("text is not null and lang is not null"), "lang string, gram bigint, n bigint", _count, 2 << 20)
+    partial = task_rows(slim.where("text is not null and lang is not null"), "lang string, gram bigint, n bigint", _count, TEXT_BLOCK)
     counts = partial.groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
     totals = {r["lang"]: r["total"] for r in counts.groupBy("lang").agg(F.sum("n").alias("total")).collect()}
     languages = sorted(totals)
@@ -148,9 +150,17 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_s
         counts.unpersist()
         return LanguageFilter([])
     words = -(-len(languages) // WORD_BITS)
+    numbers = range(len(languages))
+    # From Arrow: rows of Python objects would start workers of another kind beside those of the tasks.
     lookup = docs.sparkSession.createDataFrame(
-        [(lang, k // WORD_BITS, 1 << k % WORD_BITS, float(totals[lang])) for k, lang in enumerate(languages)],
-        "lang string, word int, bit bigint, total double",
+        pa.table(
+            {
+                "lang": pa.array(languages, pa.string()),
+                "word": pa.array([k // WORD_BITS for k in numbers], pa.int32()),
+                "bit": pa.array([1 << k % WORD_BITS for k in numbers], pa.int64()),
+                "total": pa.array([float(totals[lang]) for lang in languages], pa.float64()),
+            }
+        )
     )
     used = counts.join(F.broadcast(lookup), "lang").withColumn("rate", F.col("n") / F.col("total"))
     by_gram = used.groupBy("gram").agg(F.max("rate").alias("peak"), F.collect_list(F.struct("word", "bit", "rate")).alias("uses"))
@@ -192,5 +202,5 @@ def identify(docs: DataFrame, model: LanguageFilter, text_col: str = "text", out
         "lang_pred string, score double",
         lambda block: shared.value.decide(block["text"]),
         out,
-        block_bytes=2 << 20,
+        block_bytes=TEXT_BLOCK,
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import quoted, task_rows
-from ledgerline.llm.tokens import word_tokenizer
+from ledgerline.llm.tokens import HeldTokenizer
 
 TIERS = (512, 1024, 2048, 4096)
 POOL_TOKENS = 1 << 20
@@ -153,9 +153,10 @@ def pack(
     named columns are read.
     """
     tiers = tuple(sorted(tiers))
+    shared = docs.sparkSession.sparkContext.broadcast(HeldTokenizer(tokenizer_path))
 
     def run(parts):
-        tokenizer = word_tokenizer(tokenizer_path)
+        tokenizer = shared.value.made
         tail, base = np.array([end], dtype="<u4").tobytes(), TaskContext.get().partitionId() << 33
         held: dict[int, tuple] = {}  # number -> (id, ids as bytes)
         pieces, pooled, number, sequence, group = [], 0, 0, base, base

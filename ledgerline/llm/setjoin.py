@@ -47,6 +47,7 @@ ROUNDS = (1, 8, 32, None)  # partners that a scan takes up of each set in long l
 MEAN_PARTNERS = 8  # open pairs per entry up to which a list is not long, once near copies are contracted
 SCAN_BLOCK = 1024
 HELD = 8_000_000
+TEXT_BLOCK = 2 << 20  # bytes of documents made to sets at a time; words, ranks and bitmaps take some ten times as much
 CACHE_WORDS = 100_000  # hashes a worker keeps from block to block, some 15 MB
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _known: dict[bytes, int] = {}
@@ -142,9 +143,13 @@ def _frequent(size: int):
         held, seen, sizes, total = [], set(), np.zeros(MAX_SMALL + 1, dtype=np.int64), 0
 
         def drain():
-            keys, counts = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            often = counts >= HEAVY_IN_TASK
-            return {"token": keys[often].astype(np.int64), "n": counts[often], "size": np.full(int(often.sum()), -1)}
+            whole = np.concatenate([*held, np.zeros(0, np.uint64)])
+            held.clear()
+            whole.sort()
+            # Of a shingle found c times, c - more equal the one that many places on; only the frequent ones are counted.
+            more = HEAVY_IN_TASK - 1
+            keys, counts = np.unique(whole[more:][whole[more:] == whole[: max(len(whole) - more, 0)]], return_counts=True)
+            return {"token": keys.astype(np.int64), "n": counts + more, "size": np.full(len(keys), -1)}
 
         for part in parts:
             for shingles in sets_of(part.column("text").to_pylist(), size):
@@ -158,7 +163,7 @@ def _frequent(size: int):
                     sizes[len(shingles)] += 1
             if total > HELD:
                 yield drain()
-                held, seen, total = [], set(), 0
+                seen, total = set(), 0
         yield drain()
         yield {"token": np.zeros(MAX_SMALL + 1, np.int64), "n": sizes, "size": np.arange(MAX_SMALL + 1)}
 
@@ -358,7 +363,7 @@ class ClassJoin:
         classes = self.stored(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct(), "in-pairs")
         stands = self.stored(self.marks.select("class", "id").join(self.few(classes), "class", "left_semi"), "stands")
         texts = self.docs.join(self.few(stands), F.col("doc_id").eqNullSafe(F.col("id"))).select("class", "text")
-        sets = self.stored(task_rows(texts, "class bigint, shingles binary", _class_sets(self.shingle)), "sets")
+        sets = self.stored(task_rows(texts, "class bigint, shingles binary", _class_sets(self.shingle), TEXT_BLOCK), "sets")
         # Only documents that repeat an id give a class twice.
         return sets if sets.count() == stands.count() else sets.dropDuplicates(["class"])
 
@@ -415,7 +420,7 @@ class ClassJoin:
         members = marked.groupBy("token", block.alias("block")).agg(F.collect_list(F.struct("class", "n", "at", "label")).alias("members"))
         scanning = marked.where("label != top").select("token", "class", "n", "at", "label", "top")
         met = scanning.join(members, "token").select("class", "n", "at", "label", "top", "members")
-        partners = task_rows(met, "class bigint, partners array<bigint>", _scan_lists(self.rule, limit), 8 << 20)
+        partners = task_rows(met, "class bigint, partners array<bigint>", _scan_lists(self.rule, limit), 4 << 20)
         by_class = partners.repartition("class").sortWithinPartitions("class")
         return self.stored(task_rows(by_class, LINKS, _merge_partners(limit), 4 << 20), "scanned")
 
@@ -485,10 +490,8 @@ def components(
     id_type = slim.schema["doc_id"].dataType.simpleString()
     join = ClassJoin(slim, folder, shingle, rule)
 
-    counted = join.stored(
-        task_rows(slim.select("text"), "token bigint, n bigint, size int", _frequent(shingle)).groupBy("token", "size").agg(F.sum("n").alias("n")),
-        "frequent",
-    )
+    found = task_rows(slim.select("text"), "token bigint, n bigint, size int", _frequent(shingle), TEXT_BLOCK)
+    counted = join.stored(found.groupBy("token", "size").agg(F.sum("n").alias("n")), "frequent")
     heavy = counted.where(f"size = -1 and n >= {HEAVY_DOCS}").orderBy(F.desc("n"), "token").limit(HEAVY_MAX).select("token", "n").toArrow()
     tokens = heavy.column("token").to_numpy().astype(np.uint64)
     order = np.argsort(tokens)
@@ -496,7 +499,7 @@ def components(
     sizes = {r["size"]: r["n"] for r in counted.where("size >= 0").select("size", "n").collect()}
     shared = spark.sparkContext.broadcast((tokens[order], ranks[order]))
     schema = f"doc_id {id_type}, class bigint, n bigint, bitmap binary, firsts array<bigint>, subsets array<struct<o:int,key:bigint>>"
-    signed = join.stored(task_rows(slim, schema, _signatures(shared, shingle, rule, small_boundary(sizes, rule))), "signatures")
+    signed = join.stored(task_rows(slim, schema, _signatures(shared, shingle, rule, small_boundary(sizes, rule)), TEXT_BLOCK), "signatures")
 
     lists = join.lists(signed)
     small = join.stored(join.small_pairs(signed).distinct(), "small-pairs")

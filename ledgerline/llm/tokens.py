@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from functools import cache
+from functools import cached_property
 from unicodedata import is_normalized
 
 import numpy as np
@@ -127,7 +127,16 @@ class WordTokenizer:
         return [b"".join(map(find, words)) for words in split]
 
 
-@cache
-def word_tokenizer(path: str) -> WordTokenizer:
-    """One tokenizer per file and Python worker."""
-    return WordTokenizer(path)
+class HeldTokenizer:
+    """A file's tokenizer, made where it is first used.
+
+    As a broadcast value it lives as long as a worker's tasks use that broadcast, so that its words do
+    not stay in memory beside the work of later jobs.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+
+    @cached_property
+    def made(self) -> WordTokenizer:
+        return WordTokenizer(self.path)

@@ -5,14 +5,16 @@ import hashlib
 import os
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import chat, fmindex, langid, lm, packing, pii, quality, setjoin, topk, warc
+from ledgerline.llm import blocks, chat, fmindex, langid, lm, packing, pii, quality, setjoin, topk, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 WORDS = "the of and Ändern haus été niño garden tree 7 x1 river stone".split()
@@ -466,3 +468,48 @@ def test_pipeline_keeps_clean_documents(spark, run_dir):
     masked = {r.doc_id: r.text for r in kept["PII"].collect()}
     assert "a1@mail.com" not in masked[17] and "<email>" in masked[17]
     assert {r.doc_id for r in kept["packing"].collect()} == set(masked)
+
+
+@pytest.mark.parametrize("module, most_mb", [(setjoin, 65), (langid, 55)])
+def test_memory_beside_a_block_of_texts_is_bounded(spark, run_dir, monkeypatch, module, most_mb):
+    """What a worker makes of a partition of texts: a few workers fit beside an executor's heap."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(4_000)]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(texts[:20])], "doc_id long, text string, lang string")
+    seen, plain = [], module.task_rows
+    monkeypatch.setattr(module, "task_rows", lambda df, s, fn, size=blocks.BLOCK_BYTES: seen.append((df.columns, fn, size)) or plain(df, s, fn, size))
+    if module is setjoin:
+        setjoin.components(docs, run_dir).count()
+    else:
+        model, mapped = langid.train(docs), langid.map_rows
+        monkeypatch.setattr(langid, "map_rows", lambda df, i, r, fn, out, block_bytes: seen.append((["text"], lambda parts: (fn({"text": p.column("text").to_pylist()}) for p in parts), block_bytes)) or mapped(df, i, r, fn, out, block_bytes=block_bytes))
+        langid.identify(docs, model).count()
+    full = {"doc_id": range(len(texts)), "text": texts, "lang": ["en"] * len(texts), "class": [0] * len(texts)}
+    reads = [(c, fn, size) for c, fn, size in seen if "text" in c]
+    assert len(reads) >= 2
+    peaks = []
+    for columns, fn, size in reads:
+        batches = pa.table({c: full[c] for c in columns}).to_batches(500)
+        tracemalloc.start()
+        for _ in fn(blocks.blocks(iter(batches), size)):
+            pass
+        peak = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        peaks.append(peak)
+    assert max(peaks) < most_mb, peaks
+
+
+def test_words_of_the_tokenizer_do_not_outlive_its_job(spark):
+    docs = spark.createDataFrame([(k, f"one two word{k}") for k in range(40)], "doc_id long, text string").repartition(4)
+    assert packing.pack(docs, TOKENIZER).count() >= 40
+
+    def made(batches):
+        import gc
+
+        list(batches)
+        n = sum(type(x).__name__ == "WordTokenizer" for x in gc.get_objects())
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    counts = [r.n for r in docs.mapInArrow(made, "n long").collect()]
+    assert counts == [0] * 4
