@@ -5,10 +5,12 @@ level 1 + floor(log2 c) and is put into the filter once for each level up to its
 read back by probing levels 1, 2, ... until one is missing. A Bloom filter never misses, so a level
 is exact or, rarely, too high.
 
-The model is made in shards by n-gram hash: a task counts what it reads, a shard adds that up and
-makes its own part of the filter, sized by what it holds. Shards go to the workers in broadcasts of
-at most ``BROADCAST_BYTES``; a larger model takes several, one after the other, and every token finds
-its n-grams in one of them. Beside the filter the shards carry exact word counts for the add-one base.
+The model is made in shards by n-gram hash, of a few million tokens each: a task counts what it reads,
+a shard adds that up and makes its own part of the filter, sized by what it holds. Beside the filter the
+shards carry exact word counts for the add-one base. A model of at most ``BROADCAST_BYTES`` goes to the
+workers as one broadcast. A larger one stays where it is: each block of texts sends its distinct n-grams
+to their shards and gets the levels back, so that a worker holds one shard or one block at a time,
+however large the model.
 
 Probability of a word w after v: weight(v) * count(v w) / count(v) + (1 - weight(v)) * (count(w) + 1)
 / (N + V + 1), with counts as read from the filter. The weight depends on the level of v and comes
@@ -20,35 +22,51 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.blocks import quoted, task_rows
+from ledgerline.session import settings
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 BROADCAST_BYTES = 192 << 20
+ROWS_BYTES = 4 << 20  # of small rows that a worker takes or gives at once
+SHARD_TOKENS = 5_000_000
+MIN_SHARDS = 32
+TASK_BLOCKS = 4  # that meet their answers in a task, on average
+PROBED = 1 << 18  # n-grams looked up or stored together
 FILTER_BITS = 10  # per stored (n-gram, level)
 FILTER_HASHES = 5
 LEVELS = 64
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 400_000  # some 60 MB
 HELD = 4_000_000
 END = np.uint64(0x5851F42D4C957F2D)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _known: dict[bytes, int] = {}
 
-BLOCKS = "ids array<{id}>, held array<boolean>, sizes array<bigint>, tokens binary, keys binary"
+BLOCKS = "block bigint, ids array<{id}>, held array<boolean>, sizes array<bigint>, tokens binary, keys binary"
 COUNTS = "shard int, words binary, word_counts binary, pairs binary, pair_counts binary"
 MODEL = "shard int, words binary, word_counts binary, filter binary, tokens bigint, bytes bigint"
+ASKED = "shard int, block bigint, words binary, pairs binary"
+ANSWERS = "block bigint, shard int, count binary, single binary, pair binary"
 SCORED = "ids array<{id}>, held array<boolean>, sizes array<bigint>, base array<double>, known array<bigint>, single binary, pair binary"
 
+NOTHING = {"shard": 0, "words": b"", "word_counts": b"", "filter": b""}
+
+# Rows of a block are megabytes, and a Parquet writer by default looks at its memory after 100 rows only.
+WRITING = {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1}
+# What a job has shuffled goes when it has written its table, not when the driver happens to collect garbage.
+CLEANING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
 
 def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, each text closed by END, and the number of tokens of each."""
-    if len(_known) > CACHE_WORDS:
-        _known.clear()
     rows, sizes = [], []
     end = int(END)
     for text in texts:
+        if len(_known) > CACHE_WORDS:
+            _known.clear()
         words = (text or "").encode().lower().split()
         row = list(map(_known.get, words))
         if None in row:
@@ -75,8 +93,24 @@ def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
     keys, counts = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
+    del order
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+    return keys[first], np.add.reduceat(counts, first, dtype=np.int64) if len(first) else counts.astype(np.int64)
+
+
+class Cut:
+    """Sorted keys by shard: the highest bits of a key name its shard."""
+
+    def __init__(self, shards: int):
+        self.shift = 64 - (shards.bit_length() - 1)
+        self.starts = np.arange(1, shards, dtype=np.uint64) << np.uint64(self.shift % 64)
+
+    def edges(self, keys: np.ndarray) -> list[int]:
+        """Where each shard begins, and the end."""
+        return [0, *np.searchsorted(keys, self.starts).tolist(), len(keys)]
+
+    def shard(self, key: int) -> int:
+        return key >> self.shift
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
@@ -107,10 +141,12 @@ def make_filter(keys: np.ndarray, levels: np.ndarray) -> np.ndarray:
     size = max(8, -(-stored * FILTER_BITS // 8))
     cells = np.zeros(size * 8, dtype=bool)
     bits = np.uint64(size * 8)
-    for level in range(1, int(levels.max(initial=0)) + 1):
-        start, step = _hashed(keys[levels >= level], level)
-        for which in range(FILTER_HASHES):
-            cells[_position(start, step, which, bits)] = True
+    for at in range(0, len(keys), PROBED):
+        part, high = keys[at : at + PROBED], levels[at : at + PROBED]
+        for level in range(1, int(high.max()) + 1):
+            start, step = _hashed(part[high >= level], level)
+            for which in range(FILTER_HASHES):
+                cells[_position(start, step, which, bits)] = True
     return np.packbits(cells, bitorder="little")
 
 
@@ -141,17 +177,24 @@ class ModelPart:
 
     def probe(self, keys: np.ndarray) -> np.ndarray:
         """Levels of n-grams, by probing one level after the other; 0 for those held by other parts."""
-        shard = self.shard(keys)
-        first, bits = self.first[shard], self.bits[shard]
-        found, live = np.zeros(len(keys), dtype=np.uint8), np.flatnonzero(bits)
+        found = np.zeros(len(keys), dtype=np.uint8)
+        for at in range(0, len(keys), PROBED):
+            found[at : at + PROBED] = self._probe(keys[at : at + PROBED])
+        return found
+
+    def _probe(self, keys: np.ndarray) -> np.ndarray:
+        shard, held = self.shard(keys), np.flatnonzero(self.bits)
+        found, live = np.zeros(len(keys), dtype=np.uint8), np.flatnonzero(self.bits[shard])
+        keys, shard = keys[live], shard[live]
         for level in range(1, LEVELS + 1):
-            start, step = _hashed(keys[live], level)
+            start, step = _hashed(keys, level)
             member = np.arange(len(live))
             # Each position is checked only where all before it were set.
             for which in range(FILTER_HASHES):
-                at = _position(start[member], step[member], which, bits[live[member]]) + first[live[member]]
+                own = held if len(held) == 1 else shard[member]
+                at = _position(start[member], step[member], which, self.bits[own]) + self.first[own]
                 member = member[(self.cells[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
-            live = live[member]
+            live, keys, shard = live[member], keys[member], shard[member]
             if not len(live):
                 break
             found[live] = level
@@ -159,10 +202,13 @@ class ModelPart:
 
 
 def _tokenize(parts):
-    for part in parts:
+    task = TaskContext.get()
+    first = task.partitionId() << 32 if task else 0
+    for k, part in enumerate(parts):
         tokens, sizes = word_keys(part.column("text").to_pylist())
         keys, index = np.unique(tokens, return_inverse=True)
         yield {
+            "block": [first + k],
             "ids": [part.column("id").to_pylist()],
             "held": [part.column("held").to_pylist()],
             "sizes": [sizes],
@@ -173,10 +219,9 @@ def _tokenize(parts):
 
 
 def _rows(parts):
-    """Rows of a table of blocks, one at a time."""
+    """Rows of tables, as dictionaries."""
     for part in parts:
-        for at in range(part.num_rows):
-            yield part.slice(at, 1).to_pylist()[0]
+        yield from part.to_pylist()
 
 
 def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -187,44 +232,51 @@ def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return keys, index, keys[index], train
 
 
-def _count(shards: int):
-    """Counts per task, one row for each shard."""
-    shift = np.uint64(64 - (shards.bit_length() - 1)) if shards > 1 else None
+def _in_batches(rows, names: list[str]):
+    """Rows as columns, some megabytes at a time."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= ROWS_BYTES:
+            yield {n: list(v) for n, v in zip(names, zip(*out, strict=True), strict=True)}
+            out, size = [], 0
+    if out:
+        yield {n: list(v) for n, v in zip(names, zip(*out, strict=True), strict=True)}
 
-    def cut(keys, counts):
-        edge = [0, len(keys)]
-        if shift is not None:
-            edge = np.searchsorted(keys >> shift, np.arange(shards + 1))
-        return [(keys[a:b].tobytes(), counts[a:b].astype("<u4").tobytes()) for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
-    def run(parts):
-        held = {"word": ([], []), "pair": ([], [])}
-        size = 0
-
-        def drain():
-            cuts = [cut(*added(*held[k])) for k in held]
-            rows = [(s, *w, *p) for s, (w, p) in enumerate(zip(*cuts, strict=True)) if w[0] or p[0]]
-            for k in held:
-                held[k] = ([], [])
-            names = ("shard", "words", "word_counts", "pairs", "pair_counts")
-            return {n: [r[k] for r in rows] for k, n in enumerate(names)}
+def _count(shards: int):
+    """Counts per task, one row for each shard whenever ``HELD`` n-grams have been gathered."""
+    cut = Cut(shards)
+
+    def drain(held):
+        for shard in range(shards):
+            row = [shard]
+            for kind in held:
+                cuts = [(keys[e[shard] : e[shard + 1]], counts[e[shard] : e[shard + 1]]) for keys, counts, e in kind]
+                keys, counts = added([k for k, _ in cuts], [c for _, c in cuts])
+                row += [keys.tobytes(), counts.astype("<u4").tobytes()]
+            if row[1] or row[3]:
+                yield row
 
+    def run(parts):
+        held, size = ([], []), 0
+        names = ["shard", "words", "word_counts", "pairs", "pair_counts"]
         for row in _rows(parts):
             keys, index, tokens, train = _tokens(row)
             if not train.any():
                 continue
             counts = np.bincount(index[train], minlength=len(keys))
-            held["word"][0].append(keys[counts > 0])
-            held["word"][1].append(counts[counts > 0])
+            words, counts = keys[counts > 0], counts[counts > 0].astype("<u4")
+            held[0].append((words, counts, cut.edges(words)))
             pairs, counts = np.unique(pair_keys(tokens)[train], return_counts=True)
-            held["pair"][0].append(pairs)
-            held["pair"][1].append(counts)
-            size += len(pairs) + len(keys)
+            held[1].append((pairs, counts.astype("<u4"), cut.edges(pairs)))
+            size += len(pairs) + len(words)
             if size > HELD:
-                yield drain()
-                size = 0
+                yield from _in_batches(drain(held), names)
+                held, size = ([], []), 0
         if size:
-            yield drain()
+            yield from _in_batches(drain(held), names)
 
     return run
 
@@ -232,14 +284,18 @@ def _count(shards: int):
 def _make_shards(parts):
     """A shard's part of the model from all its counts; rows come ordered by shard."""
 
+    def sums(rows, keys, counts):
+        # Each row's bytes go once they are in the array of all.
+        return added([np.frombuffer(r.pop(keys), np.uint64) for r in rows], [np.frombuffer(r.pop(counts), "<u4") for r in rows])
+
     def finish(shard, rows):
-        words, word_counts = added(
-            [np.frombuffer(r["words"], np.uint64) for r in rows], [np.frombuffer(r["word_counts"], "<u4").astype(np.int64) for r in rows]
-        )
-        pairs, pair_counts = added(
-            [np.frombuffer(r["pairs"], np.uint64) for r in rows], [np.frombuffer(r["pair_counts"], "<u4").astype(np.int64) for r in rows]
-        )
-        cells = make_filter(np.concatenate([words, pairs]), np.concatenate([levels_of(word_counts), levels_of(pair_counts)]))
+        words, word_counts = sums(rows, "words", "word_counts")
+        pairs, pair_counts = sums(rows, "pairs", "pair_counts")
+        levels = np.concatenate([levels_of(c).astype(np.uint8) for c in (word_counts, pair_counts)])
+        del pair_counts
+        keys = np.concatenate([words, pairs])
+        del pairs
+        cells = make_filter(keys, levels)
         row = (shard, words.tobytes(), word_counts.tobytes(), cells.tobytes(), int(word_counts.sum()), 16 * len(words) + len(cells))
         return {n: [v] for n, v in zip(("shard", "words", "word_counts", "filter", "tokens", "bytes"), row, strict=True)}
 
@@ -254,32 +310,99 @@ def _make_shards(parts):
         yield finish(shard, held)
 
 
-def _probe(shared, total_tokens: int, types: int, last: bool):
-    """Add what one part of the model knows to each block's words and tokens."""
-    unseen = total_tokens + types + 1
+def _found(row: dict, index: np.ndarray, unseen: int, count: np.ndarray, single: np.ndarray, pair: np.ndarray) -> dict[str, list]:
+    """A block with what the model knows of its words (``count``, ``single``) and of its tokens' pairs."""
+    at = np.cumsum([0, *row["sizes"][:-1]])
+    log = np.log10(count + 1.0) - np.log10(unseen)
+    return {
+        "ids": [row["ids"]],
+        "held": [row["held"]],
+        "sizes": [row["sizes"]],
+        "base": [np.add.reduceat(log[index], at)],
+        "known": [np.add.reduceat((count > 0).astype(np.int64)[index], at)],
+        "single": [single[index].tobytes()],
+        "pair": [pair.tobytes()],
+    }
+
+
+def _probe(shared, unseen: int):
+    """What a broadcast model knows of each block's words and tokens."""
 
     def run(parts):
-        part = shared.value
         for row in _rows(parts):
+            part = shared.value
             keys, index, tokens, _ = _tokens(row)
-            count = np.frombuffer(row["count"], np.int64) if row["count"] else np.zeros(len(keys), np.int64)
-            single = np.frombuffer(row["single"], np.uint8) if row["single"] else np.zeros(len(keys), np.uint8)
-            pair = np.frombuffer(row["pair"], np.uint8) if row["pair"] else np.zeros(len(tokens), np.uint8)
-            count = count + part.exact(keys)
-            single = np.maximum(single, part.probe(keys))
-            pair = np.maximum(pair, part.probe(pair_keys(tokens)))
-            out = {"ids": [row["ids"]], "held": [row["held"]], "sizes": [row["sizes"]]}
-            if not last:
-                yield out | {"tokens": [row["tokens"]], "keys": [row["keys"]], "count": [count.tobytes()], "single": [single.tobytes()], "pair": [pair.tobytes()]}
+            yield _found(row, index, unseen, part.exact(keys), part.probe(keys), part.probe(pair_keys(tokens)))
+
+    return run
+
+
+def _ask(shards: int):
+    """Distinct words and pairs of each block, one row for each shard."""
+    cut = Cut(shards)
+
+    def run(parts):
+        for row in _rows(parts):
+            words, _, tokens, _ = _tokens(row)
+            pairs = np.sort(pair_keys(tokens))
+            pairs = pairs[np.r_[True, pairs[1:] != pairs[:-1]]]
+            by_word, by_pair = cut.edges(words), cut.edges(pairs)
+            rows = ((s, row["block"], words[by_word[s] : by_word[s + 1]].tobytes(), pairs[by_pair[s] : by_pair[s + 1]].tobytes()) for s in range(shards))
+            yield from _in_batches((r for r in rows if r[2] or r[3]), ["shard", "block", "words", "pairs"])
+
+    return run
+
+
+def _answer(shards: int):
+    """What a shard knows of the n-grams asked for; its own row, if it has one, comes before them."""
+
+    def looked_up(part, asked):
+        sizes = {kind: np.cumsum([len(r[kind]) // 8 for r in asked])[:-1] for kind in ("words", "pairs")}
+        words, pairs = (np.frombuffer(b"".join(r[kind] for r in asked), np.uint64) for kind in sizes)
+        count, single = np.split(part.exact(words), sizes["words"]), np.split(part.probe(words), sizes["words"])
+        for r, c, s, p in zip(asked, count, single, np.split(part.probe(pairs), sizes["pairs"]), strict=True):
+            yield r["block"], r["shard"], c.tobytes(), s.tobytes(), p.tobytes()
+
+    def answers(parts):
+        part, shard, asked, size = None, None, [], 0
+        for row in _rows(parts):
+            own = row["block"] is None
+            # Many rows are looked up together, as each alone has only some thousand n-grams.
+            if asked and (own or row["shard"] != shard or size >= 8 * PROBED):
+                yield from looked_up(part, asked)
+                asked, size = [], 0
+            if own or row["shard"] != shard:
+                shard = row["shard"]
+                part = ModelPart([row if own else {**NOTHING, "shard": shard}], shards)
+            if not own:
+                asked.append(row)
+                size += len(row["words"]) + len(row["pairs"])
+        if asked:
+            yield from looked_up(part, asked)
+
+    return lambda parts: _in_batches(answers(parts), ["block", "shard", "count", "single", "pair"])
+
+
+def _gather(unseen: int):
+    """Blocks with the answers of all shards, which follow their block in order of their n-grams."""
+
+    def finish(row, got):
+        _, index, tokens, _ = _tokens(row)
+        count, single, pair = (np.frombuffer(b"".join(r[k] for r in got), t) for k, t in (("count", np.int64), ("single", np.uint8), ("pair", np.uint8)))
+        place = np.unique(pair_keys(tokens), return_inverse=True)[1]
+        return _found(row, index, unseen, count, single, pair[place])
+
+    def run(parts):
+        block, got = None, []
+        for row in _rows(parts):
+            if row["shard"] is not None:
+                got.append(row)
                 continue
-            at = np.cumsum([0, *row["sizes"][:-1]])
-            log = np.log10(count + 1.0) - np.log10(unseen)
-            yield out | {
-                "base": [np.add.reduceat(log[index], at)],
-                "known": [np.add.reduceat((count > 0).astype(np.int64)[index], at)],
-                "single": [single[index].tobytes()],
-                "pair": [pair.tobytes()],
-            }
+            if block:
+                yield finish(block, got)
+            block, got = row, []
+        if block:
+            yield finish(block, got)
 
     return run
 
@@ -330,23 +453,9 @@ def _score(weight: np.ndarray, total_tokens: int, types: int, end_level: int):
     return run
 
 
-def model_groups(model: DataFrame, limit: int) -> list[tuple[int, int]]:
-    """First and last shard of each part of the model, a part having at most ``limit`` bytes (one shard at least)."""
-    groups, size = [], 0
-    for r in model.select("shard", "bytes").orderBy("shard").collect():
-        if not groups or size + r["bytes"] > limit:
-            groups.append((r["shard"], r["shard"]))
-            size = 0
-        groups[-1] = (groups[-1][0], r["shard"])
-        size += r["bytes"]
-    return groups or [(0, 0)]
-
-
-def model_part(model: DataFrame, group: tuple[int, int], shards: int) -> ModelPart:
-    rows = model.where(F.col("shard").between(*group))
-    got = sorted((r.asDict() for r in rows.toLocalIterator()), key=lambda r: r["shard"])
-    empty = {"shard": 0, "words": b"", "word_counts": b"", "filter": b""}
-    return ModelPart(got or [empty], shards)
+def model_part(model: DataFrame, shards: int) -> ModelPart:
+    got = sorted((r.asDict() for r in model.toLocalIterator()), key=lambda r: r["shard"])
+    return ModelPart(got or [NOTHING], shards)
 
 
 def score(
@@ -371,34 +480,40 @@ def score(
         F.col(quoted(id_col)).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(quoted(text_col)).cast("string").alias("text")
     )
     id_type = slim.schema["id"].dataType.simpleString()
-    shards = 1 << max(5, (slim.rdd.getNumPartitions() - 1).bit_length())
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        with settings(spark, CLEANING):
+            df.write.mode("overwrite").options(**WRITING).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
+    def by_shard(df: DataFrame, *order: Column) -> DataFrame:
+        return df.repartitionById(shards, "shard").sortWithinPartitions("shard", *order)
+
     blocks = stored(task_rows(slim, BLOCKS.format(id=id_type), _tokenize, BLOCK_BYTES), "blocks")
+    size = blocks.agg(F.count("*").alias("blocks"), F.sum(F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")).alias("tokens")).first()
+    shards = max(MIN_SHARDS, 1 << ((size["tokens"] or 0) // SHARD_TOKENS).bit_length())
     counts = task_rows(blocks, COUNTS, _count(shards), 1)
-    model = stored(
-        task_rows(counts.repartition(shards, "shard").sortWithinPartitions("shard"), MODEL, _make_shards, 1), "model"
-    )
-    whole = model.agg(F.sum("tokens").alias("n"), F.sum(F.octet_length("words") / 8).cast("bigint").alias("v")).first()
+    model = stored(task_rows(by_shard(counts), MODEL, _make_shards, ROWS_BYTES), "model")
+    whole = model.agg(
+        F.sum("tokens").alias("n"), F.sum(F.octet_length("words") / 8).cast("bigint").alias("v"), F.sum("bytes").alias("bytes")
+    ).first()
     total, types = whole["n"] or 0, whole["v"] or 0
+    unseen = total + types + 1
 
-    nothing = F.lit(None).cast("binary")
-    found = blocks.select("*", nothing.alias("count"), nothing.alias("single"), nothing.alias("pair"))
-    groups, end_level = model_groups(model, broadcast_bytes), 0
-    for k, group in enumerate(groups):
-        part = model_part(model, group, shards)
-        end_level = max(end_level, int(part.probe(np.array([END]))[0]))
+    scored_type = SCORED.format(id=id_type)
+    if (whole["bytes"] or 0) <= broadcast_bytes:
+        part = model_part(model, shards)
+        end_level = int(part.probe(np.array([END]))[0])
         shared = spark.sparkContext.broadcast(part)
-        last = k == len(groups) - 1
-        schema = SCORED if last else BLOCKS + ", count binary, single binary, pair binary"
-        probed = task_rows(found, schema.format(id=id_type), _probe(shared, total, types, last), 1)
-        # Written before the next part is read, so that a task and the driver hold one part at a time.
-        found = stored(probed, "scored" if last else f"pass{k % 2}")
+        scored = stored(task_rows(blocks, scored_type, _probe(shared, unseen), 1), "scored")
         shared.destroy()
-    scored = found
+    else:
+        end_level = int(model_part(model.where(F.col("shard") == Cut(shards).shard(int(END))), shards).probe(np.array([END]))[0])
+        asked = model.select("shard", "words", "word_counts", "filter").unionByName(task_rows(blocks, ASKED, _ask(shards), 1), True)
+        answers = stored(task_rows(by_shard(asked, F.col("block").asc_nulls_first()), ANSWERS, _answer(shards), ROWS_BYTES), "answers")
+        both = blocks.unionByName(answers, True).repartition(-(-size["blocks"] // TASK_BLOCKS), "block")
+        ordered = both.sortWithinPartitions("block", F.col("shard").asc_nulls_first())
+        scored = stored(task_rows(ordered, scored_type, _gather(unseen), 1), "scored")
     votes = task_rows(scored, "level bigint, pair double, all double", _vote(total, end_level), 1)
     weight = np.zeros(LEVELS + 1)
     for r in votes.groupBy("level").agg(F.sum("pair").alias("pair"), F.sum("all").alias("all")).collect():

@@ -261,6 +261,40 @@ def test_language_model(docs, texts, empty, run_dir):
     assert lm.score(empty, held, run_dir + "e").count() == 0
 
 
+def test_large_language_model_stays_in_its_shards(spark, docs, run_dir, monkeypatch):
+    held = F.col("doc_id") % 5 == 0
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 40, raising=False)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 300)
+    want = {r.doc_id: r for r in lm.score(docs, held, run_dir + "a").collect()}
+    sent = []
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value))
+    got = {r.doc_id: r for r in lm.score(docs, held, run_dir + "b", broadcast_bytes=1).collect()}
+    assert got == want and not sent
+    # Texts without training texts beside them find no model at all.
+    none = lm.score(docs, F.lit(True), run_dir + "c", broadcast_bytes=-1).collect()
+    assert len(none) == len(docs.collect()) and {(r.n_known, r.train_tokens, r.base_score) for r in none} == {(0, 0, 0.0)}
+
+
+def test_memory_of_the_language_model_is_bounded():
+    """What a worker holds of a partition, block by block and shard by shard."""
+    texts = [" ".join(f"w{k}" for k in range(at, at + 500)) for at in range(0, 1_200_000, 500)]
+    full = pa.table({"id": range(len(texts)), "held": [False] * len(texts), "text": texts})
+    types = {"tokens": pa.binary(), "keys": pa.binary()}
+
+    def peak(fn, batches, size):
+        tracemalloc.start()
+        for got in fn(blocks.blocks(iter(batches), size)):
+            yield pa.table({k: pa.array(v, type=types.get(k)) for k, v in got.items()})
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+
+    peaks = []
+    made = [b for t in peak(lm._tokenize, full.to_batches(500), lm.BLOCK_BYTES) for b in t.to_batches()]
+    counted = [b for t in peak(lm._count(64), made, 1) for b in t.to_batches()]
+    assert sum(len(np.unique(np.frombuffer(x, np.uint64))) for b in counted for x in b.column("words").to_pylist()) == 1_200_001
+    assert peaks[0] < 110 and peaks[1] < 80, peaks
+
+
 def test_bigrams_seen_once_count(spark, run_dir):
     train = [t for k in range(20) for t in (f"h{k} x{k}", f"h{k} x{k}", f"g{k} y{k}", f"g{k} z{k}")]
     held = [t for k in range(20) for t in (f"g{k} y{k}", f"g{k} y{(k + 1) % 20}")]
