@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from ledgerline.llm.blocks import quoted, task_rows
 from ledgerline.session import settings
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BROADCAST_BYTES = 192 << 20
-ROWS_BYTES = 4 << 20  # of small rows that a worker takes or gives at once
+ROWS_BYTES = 2 << 20  # of small rows that a worker takes or gives at once
 SHARD_TOKENS = 5_000_000
 MIN_SHARDS = 32
-TASK_BLOCKS = 4  # that meet their answers in a task, on average
+TASK_BLOCKS = 8  # that meet their answers in a task, on average
 PROBED = 1 << 18  # n-grams looked up or stored together
 FILTER_BITS = 10  # per stored (n-gram, level)
 FILTER_HASHES = 5
@@ -55,9 +55,13 @@ SCORED = "ids array<{id}>, held array<boolean>, sizes array<bigint>, base array<
 NOTHING = {"shard": 0, "words": b"", "word_counts": b"", "filter": b""}
 
 # Rows of a block are megabytes, and a Parquet writer by default looks at its memory after 100 rows only.
-WRITING = {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1}
-# What a job has shuffled goes when it has written its table, not when the driver happens to collect garbage.
-CLEANING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+WRITING = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1, "compression": "zstd"}
+JOBS = {
+    # The JVM holds a batch several times, outside its heap.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    # What a job has shuffled goes when it has written its table, not when the driver happens to collect garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
 def word_keys(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -482,7 +486,7 @@ def score(
     id_type = slim.schema["id"].dataType.simpleString()
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        with settings(spark, CLEANING):
+        with settings(spark, JOBS):
             df.write.mode("overwrite").options(**WRITING).parquet(f"{folder}/{name}")
         return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
